@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from plumbline.llm.chat import SQL as CHAT_SQL
-from plumbline.llm.chat import op9_chat_format
-from plumbline.llm.media import op2_media_columns
-from plumbline.llm.packing import op8_best_fit_pack
-from plumbline.llm.wordbpe import op5_bpe_roundtrip
+from plumbline.llm import chat, embeddings, licenses, media, ngrams, packing, toxicity, wordbpe
 
 QUERIES = {
-    "op2_media_columns": op2_media_columns,
-    "op5_bpe_roundtrip": op5_bpe_roundtrip,
-    "op8_best_fit_pack": op8_best_fit_pack,
-    "op9_chat_format": op9_chat_format,
+    "op2_media_columns": media.op2_media_columns,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_bpe_roundtrip": wordbpe.op5_bpe_roundtrip,
+    "op6_lm_scores": ngrams.op6_lm_scores,
+    "op7_license_scan": licenses.op7_license_scan,
+    "op8_best_fit_pack": packing.op8_best_fit_pack,
+    "op9_chat_format": chat.op9_chat_format,
+    "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,
 }
 
-ORACLE_SQL = {"op9_chat_format": CHAT_SQL}
+ORACLE_SQL = {"op6_lm_scores": ngrams.SQL, "op7_license_scan": licenses.SQL, "op9_chat_format": chat.SQL}
