@@ -34,8 +34,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import chunks, materialise, ship, table, work_path
-from plumbline.llm.media import filesystem
+from plumbline.llm.blocks import load, texts_of, write_blocks
+from plumbline.llm.common import ship, table, work_path
 
 SCHEMA = "doc_id long, n_tokens long, log_score double, mean_log_score double"
 _SPACE = str.maketrans("\t\n\r", "   ")
@@ -45,6 +45,10 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.lower().translate(_SPACE).split(" ") if w]
 
 
+def count_tokens(texts: list[str]) -> int:
+    return sum(len(words_of(t)) for t in texts)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -93,25 +97,6 @@ def unpack_counts(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
 
 
-def store(path: str, block: int, ids: list, texts: list[str]) -> None:
-    """Writes a block; a retried task writes the same bytes under the same name."""
-    import pyarrow as pa
-
-    fs, base = filesystem(path)
-    fs.create_dir(base, recursive=True)
-    with fs.open_output_stream(f"{base}/{block}", compression=None) as out, pa.ipc.new_stream(out, pa.schema([("doc_id", pa.int64()), ("text", pa.large_string())]), options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.large_string())], ["doc_id", "text"]))
-
-
-def load(path: str, block: int) -> tuple[list, list[str]]:
-    import pyarrow as pa
-
-    fs, base = filesystem(path)
-    with fs.open_input_stream(f"{base}/{block}", compression=None) as f, pa.ipc.open_stream(f) as r:
-        t = r.read_all()
-    return t.column(0).to_pylist(), t.column(1).to_pylist()
-
-
 def sent(path: str, blocks: Iterator, bits: int) -> Iterator:
     """A row (part, ngram, block, n, keys, counts) for each table partition that a block has anything for."""
     import pyarrow as pa
@@ -119,7 +104,7 @@ def sent(path: str, blocks: Iterator, bits: int) -> Iterator:
     for batch in blocks:
         for block in batch.column(0).to_pylist():
             rows = []
-            for n, found in enumerate(hashes(load(path, block)[1])[1]):
+            for n, found in enumerate(hashes(texts_of(load(path, block)))[1]):
                 keys, counts = np.unique(found, return_counts=True)
                 parts = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
                 edge = np.flatnonzero(np.append(True, parts[1:] != parts[:-1])) if len(keys) else np.zeros(0, np.int64)
@@ -152,8 +137,8 @@ def scored(path: str, group, total: int, penalty: float, min_count: int):
     import pyarrow as pa
 
     block = group.column("block")[0].as_py()
-    ids, texts = load(path, block)
-    count, found = hashes(texts)
+    rows = load(path, block)
+    count, found = hashes(texts_of(rows))
     answers: dict[int, dict[int, bytes]] = {0: {}, 1: {}, 2: {}}
     for n, part, raw in zip(group.column("ngram").to_pylist(), group.column("part").to_pylist(), group.column("counts").to_pylist()):
         answers[n][part] = raw
@@ -175,7 +160,7 @@ def scored(path: str, group, total: int, penalty: float, min_count: int):
     s = np.where(place == 0, single, np.where(place == 1, pair, triple))
     score = np.bincount(np.repeat(np.arange(len(count)), count), weights=s, minlength=len(count))
     mean = [round(float(x) / int(n), 4) if n else None for x, n in zip(score, count)]
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(count, pa.int64()), "log_score": pa.array(np.round(score, 4), pa.float64()), "mean_log_score": pa.array(mean, pa.float64())})
+    return pa.table({"doc_id": rows.column("doc_id"), "n_tokens": pa.array(count, pa.int64()), "log_score": pa.array(np.round(score, 4), pa.float64()), "mean_log_score": pa.array(mean, pa.float64())})
 
 
 def backoff_scores(docs: DataFrame, penalty: float = 0.4, min_count: int = 2, block_chars: int = 8_000_000, table_chars: int = 16_000_000) -> DataFrame:
@@ -184,29 +169,8 @@ def backoff_scores(docs: DataFrame, penalty: float = 0.4, min_count: int = 2, bl
     ship(spark)
     path = work_path(spark, "ngram-blocks")
 
-    def write(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        base, made = TaskContext.get().partitionId() << 32, 0
-        ids, texts, n = [], [], 0
-
-        def done() -> pa.RecordBatch:
-            store(path, base + made, ids, texts)
-            return pa.RecordBatch.from_arrays([pa.array([base + made], pa.int64()), pa.array([n], pa.int64()), pa.array([sum(len(words_of(t)) for t in texts)], pa.int64())], ["block", "chars", "tokens"])
-
-        for more_ids, more in chunks(batches, 500_000):
-            ids += more_ids
-            texts += more
-            n += sum(map(len, more))
-            if n >= block_chars:
-                yield done()
-                made, ids, texts, n = made + 1, [], [], 0
-        if ids:
-            yield done()
-
-    blocks = materialise(docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(write, "block long, chars long, tokens long"), "ngram-block-list")
-    n, chars, total = blocks.agg(F.count(F.lit(1)), F.sum("chars"), F.sum("tokens")).first()
+    blocks = write_blocks(docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text"), path, block_chars, count_tokens)
+    n, chars, total = blocks.agg(F.count(F.lit(1)), F.sum("size"), F.sum("measure")).first()
     if not n:
         return spark.createDataFrame([], SCHEMA)
     bits = max(0, math.ceil(math.log2(max(1, chars / table_chars))))
@@ -222,7 +186,7 @@ def backoff_scores(docs: DataFrame, penalty: float = 0.4, min_count: int = 2, bl
     entries = listed.mapInArrow(send, "part long, ngram int, block long, n long, keys binary, counts binary")
     answers = entries.groupBy("ngram", "part").applyInArrow(answered, "block long, ngram int, part long, counts binary")
     # A block without a token sends nothing and gets no answer: an empty one stands in, so that its documents stay.
-    nothing = blocks.where("tokens = 0").select("block", F.lit(0).alias("ngram"), F.lit(-1).cast("long").alias("part"), F.lit(pack_counts(np.zeros(0, np.int64))).alias("counts"))
+    nothing = blocks.where("measure = 0").select("block", F.lit(0).alias("ngram"), F.lit(-1).cast("long").alias("part"), F.lit(pack_counts(np.zeros(0, np.int64))).alias("counts"))
     return answers.unionByName(nothing).groupBy("block").applyInArrow(score, SCHEMA)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, embeddings, licenses, media, ngrams, packing, toxicity, wordbpe
+from plumbline.llm import chat, embeddings, licenses, media, minhash, ngrams, packing, suffix, toxicity, wordbpe
 
 QUERIES = {
+    "op1_suffix_dedup": suffix.op1_suffix_dedup,
     "op2_media_columns": media.op2_media_columns,
+    "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe_roundtrip": wordbpe.op5_bpe_roundtrip,
     "op6_lm_scores": ngrams.op6_lm_scores,
