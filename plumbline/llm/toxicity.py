@@ -8,7 +8,8 @@ document's strongest words, small numpy networks are then trained with the
 class-prior-corrected, non-negative risk
     prior * R(positive as 1) + max(0, R(unlabelled as 0) - prior * R(positive as 0)).
 The prior is the toxic share of all labelled documents that are not held out.
-The sample's first part makes the table, its second trains the networks.
+The networks are trained crosswise: the words of a sampled document are weighed
+by a table made without its fold of the sample.
 
 Scoring reads every whole text once and shuffles nothing. Labels, lang, source
 and doc_id are no inputs of a score.
@@ -127,15 +128,28 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: i
     return net
 
 
+FOLDS = 4
+
+
 def _count(batches: Iterator) -> Iterator:
+    """(feature, fold, p, u): in how many confirmed toxic and unlabelled documents of a fold a feature stands."""
     import pyarrow as pa
 
-    counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
+    counts: dict[tuple[int, bool], Counter] = {(f, p): Counter() for f in range(FOLDS) for p in (True, False)}
     for batch in batches:
-        for positive, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts[positive].update({f for w in words_of(text.as_py() or "") for f in parts_of(w)})
-    features = list(counts[True])  # features of unlabelled documents alone have no say
-    yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array([counts[True][f] for f in features], pa.int64()), pa.array([counts[False][f] for f in features], pa.int64())], ["feature", "p", "u"])
+        for positive, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            counts[fold, positive].update({f for w in words_of(text.as_py() or "") for f in parts_of(w)})
+    features: set[str] = set().union(*(counts[f, True] for f in range(FOLDS)))  # those of unlabelled documents alone have no say
+    for fold in range(FOLDS):
+        names = [f for f in features if counts[fold, True][f] or counts[fold, False][f]]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([fold] * len(names), pa.int32()), pa.array([counts[fold, True][f] for f in names], pa.int64()), pa.array([counts[fold, False][f] for f in names], pa.int64())], ["feature", "fold", "p", "u"])
+
+
+def ratios(features: list[str], p: np.ndarray, u: np.ndarray, n_p: int, n_u: int) -> dict[str, float]:
+    """Log ratios of at least 1 of the features that stand in enough confirmed documents; rare features are held back by the smoothing."""
+    r = np.log((p + 0.5) / (n_p + 1.0)) - np.log((u + 3.0) / (n_u + 6.0))
+    keep = (p >= (3 if n_p >= 200 else 2)) & (r >= 1)
+    return {features[k]: float(r[k]) for k in np.flatnonzero(keep)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabelled: int = 8000, default_prior: float = 0.1, ensemble: int = 3) -> Model:
@@ -153,31 +167,36 @@ def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabell
     chosen_u = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).orderBy(order, "doc_id").limit(n_unlabelled).withColumn("positive", F.lit(False))
     chosen = chosen_p.unionByName(chosen_u).dropDuplicates(["doc_id", "positive"])
     # chosen holds at most n_positive + n_unlabelled ids: broadcasting it has that bound.
-    sample = materialise(docs.join(F.broadcast(chosen), "doc_id").select("positive", "text", (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(10)) < 6).alias("first")).repartition(8), "toxicity-sample")
-    size = {(r.first, r.positive): r["count"] for r in sample.groupBy("first", "positive").count().collect()}
-    n_p, n_u = size.get((True, True), 0), size.get((True, False), 0)
-    counted = sample.where("first").select("positive", "text").mapInArrow(_count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    least = 3 if n_p >= 200 else 2
-    ratio = F.log((F.col("p") + 0.5) / (n_p + 1.0)) - F.log((F.col("u") + 3.0) / (n_u + 6.0))
-    # Bounded by the sample: each feature stands in `least` of its confirmed documents.
-    found = {r.feature: r.r for r in counted.where(F.col("p") >= least).select("feature", ratio.alias("r")).where("r >= 1").collect()}
-    rows = [(r.positive, *r.x) for r in _featurise(sample.where("not first").select("positive", "text"), found).collect()]
-    data = np.array(rows, np.float64).reshape(-1, 9)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int")
+    sample = materialise(docs.join(F.broadcast(chosen), "doc_id").select("positive", fold.alias("fold"), "text").repartition(8), "toxicity-sample")
+    sizes = {(r.fold, r.positive): r["count"] for r in sample.groupBy("fold", "positive").count().collect()}
+    n_p, n_u = (np.array([sizes.get((f, p), 0) for f in range(FOLDS)]) for p in (True, False))
+    counted = sample.mapInArrow(_count, "feature string, fold int, p long, u long").groupBy("feature").pivot("fold", list(range(FOLDS))).agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    total = sum((F.coalesce(F.col(f"{f}_p"), F.lit(0)) for f in range(FOLDS)), F.lit(0))
+    # Bounded by the sample: each feature stands in two of its confirmed documents at least.
+    rows = counted.where(total >= 2).collect()
+    features = [r.feature for r in rows]
+    p, u = (np.array([[r[f"{f}_{k}"] or 0 for f in range(FOLDS)] for r in rows], np.float64).reshape(-1, FOLDS) for k in "pu")
+    crossed = [ratios(features, p.sum(1) - p[:, f], u.sum(1) - u[:, f], n_p.sum() - n_p[f], n_u.sum() - n_u[f]) for f in range(FOLDS)]
+    data = np.array([(r.positive, *r.x) for r in _featurise(sample, crossed).collect()], np.float64).reshape(-1, 9)
     positive, unlabelled = data[data[:, 0] == 1, 1:], data[data[:, 0] == 0, 1:]
     if not len(positive) or not len(unlabelled):
         return Model()
     mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-6
     zp, zu = (positive - mean) / scale, (unlabelled - mean) / scale
-    return Model(found, mean, scale, [fit_nnpu(zp, zu, prior, seed) for seed in range(ensemble)])
+    return Model(ratios(features, p.sum(1), u.sum(1), n_p.sum(), n_u.sum()), mean, scale, [fit_nnpu(zp, zu, prior, seed) for seed in range(ensemble)])
+
 
+def _featurise(sample: DataFrame, tables: list[dict[str, float]]) -> DataFrame:
+    """(positive, x) of sample(positive, fold, text), each fold by its own table."""
 
-def _featurise(sample: DataFrame, ratio: dict[str, float]) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weights = Weights(ratio)
+        weights = [Weights(t) for t in tables]
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([weights.features(t.as_py() or "") for t in batch.column(1)], pa.list_(pa.float64()))], ["positive", "x"])
+            x = [weights[fold].features(t.as_py() or "") for fold, t in zip(batch.column(1).to_pylist(), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["positive", "x"])
 
     return sample.mapInArrow(run, "positive boolean, x array<double>")
 
