@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import chunks, materialise, ship, table
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
+FOLDS, PSEUDO, LEAST, STRONG = 4, 4.0, 0.7, 1.5
 STRIP = ".,;:!?\"'()[]{}<>*&%$#|-_/\\=+~`«»“”‘’„…"
 
 
@@ -53,16 +54,15 @@ def words_of(text: str) -> set[str]:
 
 @dataclass
 class Weights(dict):
-    """word -> the largest log ratio of its features, 0 below `least`; filled as words come, within a bound."""
+    """word -> the largest log ratio of its features, 0 below LEAST; filled as words come, within a bound."""
 
     ratio: dict[str, float]
-    least: float = 1.0
     most: int = 300_000
 
     def __missing__(self, raw: str) -> float:
         word = raw.strip(STRIP)
         got = max((self.ratio.get(f, 0.0) for f in parts_of(word)), default=0.0) if word else 0.0
-        got = got if got >= self.least else 0.0
+        got = got if got >= LEAST else 0.0
         if len(self) >= self.most:
             self.clear()
         self[raw] = got
@@ -71,7 +71,7 @@ class Weights(dict):
     def features(self, text: str) -> list[float]:
         words = set(text.lower().split())
         top = sorted(filter(None, map(self.__getitem__, words)), reverse=True)
-        strong = sum(t >= 2 for t in top)
+        strong = sum(t >= STRONG for t in top)
         five = (top + [0.0] * 5)[:5]
         return [five[0], five[1], five[2], sum(five) / 5, math.log1p(len(top)), math.log1p(strong), 100 * strong / (1 + len(words)), math.log1p(len(words))]
 
@@ -128,9 +128,6 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: i
     return net
 
 
-FOLDS = 4
-
-
 def _count(batches: Iterator) -> Iterator:
     """(feature, fold, p, u): in how many confirmed toxic and unlabelled documents of a fold a feature stands."""
     import pyarrow as pa
@@ -146,10 +143,9 @@ def _count(batches: Iterator) -> Iterator:
 
 
 def ratios(features: list[str], p: np.ndarray, u: np.ndarray, n_p: int, n_u: int) -> dict[str, float]:
-    """Log ratios of at least 1 of the features that stand in enough confirmed documents; rare features are held back by the smoothing."""
-    r = np.log((p + 0.5) / (n_p + 1.0)) - np.log((u + 3.0) / (n_u + 6.0))
-    keep = (p >= (3 if n_p >= 200 else 2)) & (r >= 1)
-    return {features[k]: float(r[k]) for k in np.flatnonzero(keep)}
+    """Log ratios of at least LEAST. Both sides are given PSEUDO documents with the feature, so that rare ones are held back."""
+    r = np.log((p + PSEUDO) / (u * (n_p / max(1, n_u)) + PSEUDO))
+    return {features[k]: float(r[k]) for k in np.flatnonzero(r >= LEAST)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabelled: int = 8000, default_prior: float = 0.1, ensemble: int = 3) -> Model:
@@ -168,7 +164,11 @@ def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabell
     chosen = chosen_p.unionByName(chosen_u).dropDuplicates(["doc_id", "positive"])
     # chosen holds at most n_positive + n_unlabelled ids: broadcasting it has that bound.
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int")
-    sample = materialise(docs.join(F.broadcast(chosen), "doc_id").select("positive", fold.alias("fold"), "text").repartition(8), "toxicity-sample")
+    # Copies would make their rare words look like signs: of sampled texts with the same least run of words, mostly copies, one is taken.
+    picked = docs.join(F.broadcast(chosen), "doc_id").withColumn("w", F.split(F.lower(F.coalesce("text", F.lit(""))), " "))
+    least = F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 2, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, 3))))
+    picked = picked.groupBy("positive", least.alias("sketch")).agg(F.min("doc_id").alias("doc_id"), F.min_by("text", F.struct("doc_id", "text")).alias("text"))
+    sample = materialise(picked.select("positive", fold.alias("fold"), "text").repartition(8), "toxicity-sample")
     sizes = {(r.fold, r.positive): r["count"] for r in sample.groupBy("fold", "positive").count().collect()}
     n_p, n_u = (np.array([sizes.get((f, p), 0) for f in range(FOLDS)]) for p in (True, False))
     counted = sample.mapInArrow(_count, "feature string, fold int, p long, u long").groupBy("feature").pivot("fold", list(range(FOLDS))).agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
