@@ -17,7 +17,8 @@ and doc_id are no inputs of a score.
 Defined results
   null or empty text: the score of a text without words
   null doc_id: scored, not held out; repeated rows: scored each
-  no confirmed toxic document: all scores 0; no rows: no rows
+  no confirmed toxic document, or no words that tell them: all scores 0
+  no rows: no rows
   labels that are null: unlabelled; contradicting labels of a doc_id: toxic
 """
 
@@ -177,6 +178,9 @@ def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabell
     rows = counted.where(total >= 2).collect()
     features = [r.feature for r in rows]
     p, u = (np.array([[r[f"{f}_{k}"] or 0 for f in range(FOLDS)] for r in rows], np.float64).reshape(-1, FOLDS) for k in "pu")
+    found = ratios(features, p.sum(1), u.sum(1), n_p.sum(), n_u.sum())
+    if not found:
+        return Model()
     crossed = [ratios(features, p.sum(1) - p[:, f], u.sum(1) - u[:, f], n_p.sum() - n_p[f], n_u.sum() - n_u[f]) for f in range(FOLDS)]
     data = np.array([(r.positive, *r.x) for r in _featurise(sample, crossed).collect()], np.float64).reshape(-1, 9)
     positive, unlabelled = data[data[:, 0] == 1, 1:], data[data[:, 0] == 0, 1:]
@@ -184,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, n_positive: int = 4000, n_unlabell
         return Model()
     mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-6
     zp, zu = (positive - mean) / scale, (unlabelled - mean) / scale
-    return Model(ratios(features, p.sum(1), u.sum(1), n_p.sum(), n_u.sum()), mean, scale, [fit_nnpu(zp, zu, prior, seed) for seed in range(ensemble)])
+    return Model(found, mean, scale, [fit_nnpu(zp, zu, prior, seed) for seed in range(ensemble)])
 
 
 def _featurise(sample: DataFrame, tables: list[dict[str, float]]) -> DataFrame:
