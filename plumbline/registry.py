@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from plumbline.plans import analytics
+
+QUERIES: dict = {**analytics.QUERIES}
+ORACLE_SQL: dict[str, str] = {**analytics.ORACLE_SQL}
