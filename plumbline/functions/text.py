@@ -73,8 +73,8 @@ def canonical_city(c: Column) -> Column:
 def address_parts(c: Column) -> Column:
     """(street, postal_code, city): what stands before the five digits, they, and what follows."""
     code = F.nullif(F.regexp_extract(c, r"\b(\d{5})\b", 1), F.lit(""))
-    street = optional(F.regexp_replace(F.when(code.isNotNull(), F.substring_index(c, code, 1)).otherwise(F.substring_index(c, ",", 1)), r"[ ,]+$", ""))
-    city = F.when(code.isNotNull(), optional(F.regexp_extract(F.substring_index(c, code, -1), r"^[ ,]*([^,]+)", 1)))
+    street = optional(F.regexp_replace(F.when(code.isNotNull(), F.regexp_extract(c, r"^(.*?)\b\d{5}\b", 1)).otherwise(F.substring_index(c, ",", 1)), r"[ ,]+$", ""))
+    city = F.when(code.isNotNull(), optional(F.regexp_extract(c, r"\b\d{5}\b[ ,]*([^,]*)", 1)))
     return F.struct(street.alias("street"), code.alias("postal_code"), canonical_city(city).alias("city"))
 
 
