@@ -147,25 +147,33 @@ def ranges_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first `depth` bytes at least, by doubling the sorted length; ties in any order."""
+    """Suffixes in the order of their first `depth` bytes at least, by doubling the sorted length; ties in any order.
+
+    A suffix's rank is the first place of those that are equal so far; only
+    places whose suffixes have equals are sorted on.
+    """
     n = len(text)
     padded = np.concatenate([text.astype(np.uint64), np.zeros(8, np.uint64)])
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : k + n]
-    length = 8
+    order = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    places, ranked, length = np.arange(n), key[order], 8
     while True:
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.append(False, ranked[1:] != ranked[:-1])
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        if length >= depth or new.sum() == n - 1:
+        new = np.append(True, ranked[1:] != ranked[:-1])
+        first = places[np.flatnonzero(new)]
+        rank[order[places]] = first[np.cumsum(new) - 1]
+        alone = new & np.append(new[1:], True)
+        places = places[~alone]
+        if length >= depth or not len(places):
             return order
-        behind = np.zeros(n, np.uint64)
-        behind[: max(0, n - length)] = rank[length:] + np.uint64(1)
-        key = (rank << np.uint64(32)) | behind
-        length *= 2
+        sub = order[places]
+        behind = sub + length
+        key = (rank[sub] << 32) | np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        order[places] = sub[by]
+        ranked, length = key[by], 2 * length
 
 
 def repeats_from(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -177,21 +185,25 @@ def repeats_from(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     further, so that each end is set once.
     """
     n = len(text)
-    bwt = text[order - 1].astype(np.int64)  # the suffix 0 wraps around to the final separator
-    sorted_ = np.sort((bwt << 32) | np.arange(n))
+    bwt = text[order - 1]  # the suffix 0 wraps around to the final separator
+    step = np.empty(n, np.int64)  # from a suffix's row to the row of the suffix one byte longer
+    step[np.argsort(bwt, kind="stable")] = np.arange(n)
     unknown = np.ones(n + 1, bool)
     unknown[[0, n]] = False
     low, high = np.array([0]), np.array([n])
     for _ in range(least):
         size = high - low
-        # The signs before an interval's strings: all rows of small intervals; a row in a large one is worth the same.
-        who = np.repeat(np.arange(len(low)), size)
-        rows = np.arange(len(who)) - np.repeat(np.cumsum(size) - size, size) + low[who]
-        seen = np.unique((who << 8) | bwt[rows])
-        who, sign = seen >> 8, seen & 255
-        # Where a sign's rows lie among the sorted rows is where its suffixes lie: C[c] + rank_c(row) in one search.
-        new_low = np.searchsorted(sorted_, (sign << 32) | low[who])
-        new_high = np.searchsorted(sorted_, (sign << 32) | high[who])
+        one = size == 1
+        # A row alone has one byte before it; in other intervals the rows of a byte lead to neighbouring rows, from its first to its last.
+        many = np.flatnonzero(~one)
+        n_rows = size[many]
+        who = np.repeat(np.arange(len(many)), n_rows)
+        rows = np.arange(len(who)) - np.repeat(np.cumsum(n_rows) - n_rows, n_rows) + low[many][who]
+        seen = np.sort((who << 40) | (bwt[rows].astype(np.int64) << 32) | rows)
+        new = np.flatnonzero(np.append(True, (seen[1:] >> 32) != (seen[:-1] >> 32))) if len(seen) else np.zeros(0, np.int64)
+        first, last = seen[new] & 0xFFFFFFFF, seen[np.append(new[1:], len(seen)) - 1] & 0xFFFFFFFF if len(seen) else np.zeros(0, np.int64)
+        alone = step[low[one]]
+        new_low, new_high = np.concatenate([alone, step[first]]), np.concatenate([alone, step[last]]) + 1
         fresh = unknown[new_high]
         low, high = new_low[fresh], new_high[fresh]
         unknown[high] = False
@@ -428,7 +440,7 @@ def kept_rows(path: str, group, width: int):
     return rows
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_bytes: int = 3_000_000, part_entries: int = 1_000_000, part_bytes: int = 4_000_000, hot: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_bytes: int = 3_000_000, part_entries: int = 1_000_000, part_bytes: int = 2_000_000, hot: int = 20_000) -> DataFrame:
     """What becomes of each row of docs(doc_id, text): (doc_id, n_bytes, n_removed, n_spans, kept_sha256), or with `cut` the rows themselves, all columns, their texts cut."""
     spark = docs.sparkSession
     ship(spark)
