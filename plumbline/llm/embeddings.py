@@ -219,3 +219,15 @@ def _linked_of(merged: DataFrame, dim: int, n: int, threshold: float, n_sample:
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
+g AS MATERIALIZED (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.k AS a, b.k AS b FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.k <> b.k WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT a AS k, count(*) AS n FROM l GROUP BY a),
+r AS (SELECT k, k AS other FROM g UNION SELECT r.k, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT r.k, min(g.vec_id) AS component_id FROM r JOIN g ON g.k = r.other GROUP BY r.k)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(vec_id = coalesce(component_id, vec_id), false) AS kept
+FROM v LEFT JOIN n USING (k) LEFT JOIN c USING (k)
+"""

@@ -17,4 +17,4 @@ QUERIES = {
     "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,
 }
 
-ORACLE_SQL = {"op6_lm_scores": ngrams.SQL, "op7_license_scan": licenses.SQL, "op9_chat_format": chat.SQL}
+ORACLE_SQL = {"op6_lm_scores": ngrams.SQL, "op10_embedding_near_dedup": embeddings.SQL, "op7_license_scan": licenses.SQL, "op9_chat_format": chat.SQL}
