@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.functions import arrays, geo, numbers, similarity, text
+from plumbline.functions import arrays, geo, numbers, pages, similarity, text
 from plumbline.operators import blocking, linking, maintenance, scoring
 from plumbline.plans.analytics import DISTANCE_SQL
 from plumbline.plans.listing import PLATFORMS, SQL, listing, table
@@ -106,6 +106,12 @@ def fn_page_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.size(links).cast("long").alias("links")).where("links > 0")
 
 
+@query(r"""SELECT page_id, nullif(regexp_extract(html, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z])', 1), '') AS email, nullif(trim(regexp_extract(html, '(\+\d{2}[\d ]{6,14}\d)', 1)), '') AS phone FROM pages""")
+def fn_page_contacts(spark, sf_dir):
+    html = F.col("html")
+    return table(spark, sf_dir, "pages").select("page_id", pages.email_of(html).alias("email"), pages.phone_of(html).alias("phone"))
+
+
 # record linkage
 
 
