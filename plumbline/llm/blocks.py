@@ -37,7 +37,7 @@ def store(path: str, block: int, parts: list) -> None:
 
     fs, base = filesystem(path)
     fs.create_dir(base, recursive=True)
-    with fs.open_output_stream(f"{base}/{block}", compression=None) as out, pa.ipc.new_stream(out, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with fs.open_output_stream(f"{base}/{block}", compression=None) as out, pa.ipc.new_stream(out, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as w:
         for p in parts:
             w.write_batch(p)
 
