@@ -440,7 +440,7 @@ def kept_rows(path: str, group, width: int):
     return rows
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_bytes: int = 3_000_000, part_entries: int = 1_000_000, part_bytes: int = 2_000_000, hot: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_bytes: int = 1_500_000, part_entries: int = 1_000_000, part_bytes: int = 2_000_000, hot: int = 20_000) -> DataFrame:
     """What becomes of each row of docs(doc_id, text): (doc_id, n_bytes, n_removed, n_spans, kept_sha256), or with `cut` the rows themselves, all columns, their texts cut."""
     spark = docs.sparkSession
     ship(spark)
