@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -246,6 +247,49 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(nasty(spark)).count() == len(NASTY)
 
 
+def linked_texts(rows, containment):
+    """Brute force: pairs of distinct texts (by their least doc_id) whose smaller set lies in the larger one."""
+    least: dict = {}
+    for i, t in rows:
+        least.setdefault(" ".join(re.sub(r"[\W_]+", " ", t.lower()).split()), i)
+    sets = {i: words_set(t) for t, i in least.items()}
+    return {(i, k) for i in sets for k in sets if i < k and len(sets[i] & sets[k]) / min(len(sets[i]), len(sets[k])) >= containment}
+
+
+@pytest.fixture(scope="module")
+def copies_of_all_sizes(spark):
+    """(rows, links by brute force, result): texts cut and changed to any degree, clusters, short texts."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    texts = []
+    for n in (300, 90, 60, 40, 9, 7):
+        for _ in range(4):
+            base = [rng.choice(vocabulary) for _ in range(n)]
+            texts += [base, base[: n * 4 // 5], base[: n // 2], base[n // 3 :], [*base, *rng.choices(vocabulary, k=n // 2)]]
+            for share in (0.02, 0.05, 0.08, 0.1, 0.12):
+                texts.append([rng.choice(vocabulary) if rng.random() < share else w for w in base])
+    quoted = [rng.choice(vocabulary) for _ in range(12)]
+    texts += [[*rng.choices(vocabulary, k=60), *quoted, *rng.choices(vocabulary, k=60)] for _ in range(6)] + [quoted, texts[0]]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    return rows, linked_texts(rows, 0.65), got, [i for i, t in enumerate(texts) if t == quoted][0], [i for i, t in enumerate(texts) if len(t) == 132]
+
+
+def test_far_sizes_link(copies_of_all_sizes):
+    rows, links, got, _, _ = copies_of_all_sizes
+    size = {i: len(words_set(t)) for i, t in rows}
+    far = [(a, b) for a, b in links if max(size[a], size[b]) > 1.5 * min(size[a], size[b])]
+    assert len(far) > 40 and all(got[a].n_links and got[b].n_links for a, b in far)
+    for a, b in links:  # the smaller one of two goes, or both lie in one class
+        assert got[a].class_id == got[b].class_id or not got[min(a, b, key=size.get)].kept or not got[max(a, b, key=size.get)].kept
+
+
+def test_a_quotation_makes_no_copies(copies_of_all_sizes):
+    _, _, got, quoted, quoting = copies_of_all_sizes
+    assert got[quoted].n_links == 6 and not got[quoted].kept and len({got[i].class_id for i in quoting}) == 6 and all(got[i].kept for i in quoting)
+
+
 def test_tuning_reaches_its_recall():
     for rows, bands in minhash.ensemble(0.65, 1.2, 3, 144, 0.9):
         assert rows * bands <= 144
