@@ -285,6 +285,15 @@ def test_far_sizes_link(copies_of_all_sizes):
         assert got[a].class_id == got[b].class_id or not got[min(a, b, key=size.get)].kept or not got[max(a, b, key=size.get)].kept
 
 
+def test_every_link_counts(copies_of_all_sizes):
+    rows, links, got, _, _ = copies_of_all_sizes
+    want = Counter(x for pair in links for x in pair)
+    twins: dict = {}
+    for i, t in rows:
+        twins.setdefault(t, i)
+    assert {i: got[i].n_links for i, _ in rows} == {i: want[twins[t]] for i, t in rows}
+
+
 def test_a_quotation_makes_no_copies(copies_of_all_sizes):
     _, _, got, quoted, quoting = copies_of_all_sizes
     assert got[quoted].n_links == 6 and not got[quoted].kept and len({got[i].class_id for i in quoting}) == 6 and all(got[i].kept for i in quoting)
