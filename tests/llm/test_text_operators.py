@@ -294,6 +294,12 @@ def test_every_link_counts(copies_of_all_sizes):
     assert {i: got[i].n_links for i, _ in rows} == {i: want[twins[t]] for i, t in rows}
 
 
+def test_short_near_copies_link(spark):
+    df = spark.createDataFrame([(1, "aa bb cc dd ee ff gg"), (2, "aa bb cc dd ee ff hh"), (3, "aa bb xx yy zz ww vv")], "doc_id long, text string")
+    got = {r.doc_id: r for r in minhash.near_duplicates(df).collect()}
+    assert [got[k].class_id for k in (1, 2, 3)] == [1, 1, 3] and [got[k].n_links for k in (1, 2, 3)] == [1, 1, 0]
+
+
 def test_a_quotation_makes_no_copies(copies_of_all_sizes):
     _, _, got, quoted, quoting = copies_of_all_sizes
     assert got[quoted].n_links == 6 and not got[quoted].kept and len({got[i].class_id for i in quoting}) == 6 and all(got[i].kept for i in quoting)
