@@ -1,6 +1,8 @@
 """Licence scans by sentence rules; DataFrame functions only.
 
-A text is cut into sentences; each is normalised (lower case, runs of other
+A text is cut into sentences, at signs that end one and at blank lines; a known
+sentence may also start or end with a line, and be wrapped over lines, with
+comment signs before each. A sentence is normalised (lower case, runs of other
 signs than letters and digits become one space) and looked up among the known
 licence sentences. What is left of a text is the sequence of its sentence
 identifiers, which ordered rules are then matched against: a rule holds where
@@ -100,17 +102,26 @@ for _s in KNOWN:
         raise ValueError(f"no anchor in: {_s}")
 
 
+#: Where a sentence ends for certain, and where a line ends that may go on in the next.
+END, WRAP = "\x01", "\x02"
+
+
 def normalised(text: Column) -> Column:
-    cut = F.split(F.regexp_replace(text, r"([.!?;:])[ \t\r]+", "$1\n"), "\n")
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    """The words of a text with END and WRAP between them, all parted by one space."""
+    t = F.regexp_replace(text, f"[{END}{WRAP}]", " ")
+    t = F.regexp_replace(t, r"([.!?;:])(?:[ \t\r]+|\n)", f"$1{END}")
+    t = F.regexp_replace(t, r"\n(?:[^\p{L}\p{N}\n]*\n)+", END)  # blank lines, be it with comment signs
+    t = F.regexp_replace(F.regexp_replace(t, "\n", WRAP), f"([{END}{WRAP}])", " $1 ")
+    return F.concat(F.lit(f"{END} "), F.trim(F.regexp_replace(F.lower(t), f"[^a-z0-9{END}{WRAP}]+", " ")), F.lit(f" {END}"))
 
 
 def identifiers(text: Column) -> Column:
-    """The identifiers of a text's licence sentences, in order."""
+    """The identifiers of a text's licence sentences, in order: a known one stands on one line or is wrapped over several."""
     table_ = F.create_map(*[F.lit(x) for kv in KNOWN.items() for x in kv])
-    known = F.array(*[F.lit(s) for s in KNOWN])
-    ids = F.transform(F.filter(normalised(text), lambda s: F.array_contains(known, s)), lambda s: F.element_at(table_, s))
-    return F.when(text.rlike("(?i)" + "|".join(ANCHORS)), ids).otherwise(F.array().cast("array<string>"))
+    known = "|".join(s.replace(" ", f" (?:{WRAP} )?") for s in sorted(KNOWN, key=len, reverse=True))
+    found = F.regexp_extract_all(normalised(text), F.lit(f"(?<=[{END}{WRAP}] )({known})(?= [{END}{WRAP}])"), F.lit(1))
+    ids = F.transform(found, lambda s: F.element_at(table_, F.regexp_replace(s, f"{WRAP} ", "")))
+    return F.when(text.rlike("(?i)" + "|".join(a.replace(" ", r"[^a-z0-9]+") for a in ANCHORS)), ids).otherwise(F.array().cast("array<string>"))
 
 
 def matched(ids: Column) -> Column:

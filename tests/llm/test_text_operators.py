@@ -215,6 +215,18 @@ def test_license_rules(spark):
         assert one is None or one.sentence_ids == key
 
 
+@pytest.mark.parametrize("width,sign,end", [(72, "", "\n"), (72, " * ", "\n"), (60, "# ", "\r\n"), (40, "// ", "\n")])
+def test_wrapped_licenses(spark, width, sign, end):
+    import textwrap
+
+    wrap = lambda ks: (end + sign.rstrip() + end).join((end).join(sign + x for x in textwrap.wrap(licenses.SENTENCES[k], width)) for k in ks)
+    kept = [(k, rule) for k, (_, rule) in enumerate(licenses.RULES)]
+    rows = [(k, "Some words" + end + wrap(rule) + end + "more words") for k, rule in kept] + [(100, "Released under the MIT\nLicense."), (101, "nothing is\nReleased under the MIT\n\nLicense."), (102, "in the public\ndomain: This is free and unencumbered software released into the public\ndomain.")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k].sentence_ids for k, _ in kept} == {k: ",".join(rule) for k, rule in kept}
+    assert [got[k].license for k in (100, 101, 102)] == ["MIT", None, "Unlicense"]
+
+
 def words_set(text):
     import re
 
