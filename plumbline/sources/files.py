@@ -77,9 +77,9 @@ def write_table(df: DataFrame, path: str, columns: list[str], order: list[str] |
 _TEX = {"\\": r"\textbackslash{}", "&": r"\&", "%": r"\%", "$": r"\$", "#": r"\#", "_": r"\_", "{": r"\{", "}": r"\}", "~": r"\textasciitilde{}", "^": r"\textasciicircum{}"}
 
 
-def latex(df: DataFrame, most_rows: int = 200) -> str:
-    """A small result as a table with rules; numbers to the right."""
-    rows = df.limit(most_rows).collect()
+def latex(df: DataFrame) -> str:
+    """A small result as a table with rules, all its rows; numbers to the right."""
+    rows = df.collect()
     numeric = [t in ("int", "bigint", "double", "float") or t.startswith("decimal") for _, t in df.dtypes]
     tex = lambda v: "" if v is None else "".join(_TEX.get(c, c) for c in str(v))
     body = [" & ".join(map(tex, r)) + r" \\" for r in rows] or [rf"\multicolumn{{{len(df.columns)}}}{{c}}{{(no rows)}} \\"]

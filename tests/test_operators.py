@@ -153,6 +153,10 @@ def test_files(spark, tmp_path):
         files.resolve(specs, "nope")
 
 
+def test_latex_writes_every_row(spark):
+    assert files.latex(spark.range(250)).count(r" \\") == 251
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from pyspark.sql.types import LongType, StringType, StructType
 
