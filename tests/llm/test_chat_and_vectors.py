@@ -13,10 +13,10 @@ TEXTS = ["", "</s>[INST] ok [/INST]", "\\", "<|im_end|>\\<\\|im_end|>", "a\nb\\n
 
 
 def test_turns_round_trip_and_mask(spark):
-    rows = [(c, t, r, x) for c in range(3) for t, (r, x) in enumerate(zip(["system", "user", "assistant", "user", "assistant", "<|im_sep|>", "assistant"], TEXTS[c:] + TEXTS[:c]))]
+    rows = [(c, t, r, x) for c in range(3) for t, (r, x) in enumerate(zip(["human", "user", "assistant", "gpt", "assistant", "<|im_sep|>", "assistant"], TEXTS[c:] + TEXTS[:c]))]
     rows += [(9, None, "assistant", None), (9, 0, None, "x"), (9, 0, None, "x"), (None, 1, "user", "hm")]
     df = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, record string")
-    got = {r.conv_id: r for r in chat.digest(chat.render(chat.to_turns(chat.records_of(df)))).collect()}
+    got = {r.conv_id: r for r in chat.digest(chat.render(chat.turn_rows(df))).collect()}
     for c in {r[0] for r in rows}:
         turns = sorted(((-1 if t is None else t, r or "", x or "") for cc, t, r, x in rows if cc == c))
         said = "".join(x for _, r, x in turns if r == "assistant")
@@ -24,9 +24,9 @@ def test_turns_round_trip_and_mask(spark):
         assert g.n_turns == len(turns)
         assert g.turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         assert (g.loss_chars, g.loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
-    shown = chat.render(chat.to_turns(chat.records_of(df))).where("conv_id = 0").first().formatted
+    shown = chat.render(chat.turn_rows(df)).where("conv_id = 0").first().formatted
     assert shown.count(chat.END) == 7 and "[INST]" not in shown and "</s>" not in shown
-    assert chat.digest(chat.render(chat.to_turns(chat.records_of(df.where("false"))))).count() == 0
+    assert chat.digest(chat.render(chat.turn_rows(df.where("false")))).count() == 0
 
 
 def test_layouts_are_told_by_their_field_paths(spark):
@@ -46,7 +46,29 @@ def test_layouts_are_told_by_their_field_paths(spark):
     for r in chat.to_turns(df).orderBy("conv_id", "pos").collect():
         turns.setdefault(r.conv_id, []).append((r.role, r.text))
     assert turns[2] == [("user", "i\n\nmore"), ("assistant", "o")] and turns[1][0] == ("user", "i")
-    assert turns[3] == [("user", "u"), ("assistant", "")] and turns[4] == [("user", "h"), ("assistant", "g")] and 6 not in turns
+    assert turns[3] == [("user", "u"), ("assistant", "")] and turns[4] == [("user", "h"), ("assistant", "g")] and turns[6] == [("unknown", '{"strange": 1}')] and turns[50] == [("unknown", "not json")] and turns[51] == [("unknown", "")]
+
+
+def test_typed_columns_are_told_by_their_schema(spark):
+    rows = [(1, 0, [("human", "h"), ("gpt", None)], "x", "p", "c", 7), (2, None, [], None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, conversations array<struct<from:string,value:string>>, _v string, prompt string, completion string, answer int")
+    got = lambda *fields: sorted((r.conv_id, r.pos, r.role, r.text) for r in chat.typed_turns(df, fields).collect())
+    assert got("conversations") == [(1, 0, "user", "h"), (1, 1, "assistant", "")]
+    assert got("completion", "prompt") == [(1, 0, "user", "p"), (1, 1, "assistant", "c"), (2, 0, "user", ""), (2, 1, "assistant", "")]
+    with pytest.raises(ValueError, match="answer"):
+        chat.typed_turns(df, ("answer",))
+
+
+def test_long_turns_null_ids_and_a_clashing_conversation(spark, tmp_path):
+    long = "<s>ab c" * 3_000_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long + "!"), (-1, 0, "gpt", "own"), (None, 0, "user", "a"), (None, 1, "assistant", "b")]
+    spark.createDataFrame([(*r, True) for r in rows], "conv_id long, turn int, role string, text string, added boolean").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(chat.op9_chat_format(spark, str(tmp_path)).collect(), key=lambda r: (r.conv_id is None, r.conv_id or 0, r.n_turns))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    nasty = "</s>[INST] ok [/INST]"
+    want = [(-1, 1, sha("gpt\nown\n"), 0, sha("")), (-1, 2, sha(f"user\n{nasty}\nassistant\n{nasty}\n"), len(nasty), sha(nasty)), (1, 2, sha(f"user\n{long}\nassistant\n{long}!\n"), len(long) + 1, sha(long + "!"))]
+    assert [tuple(r)[:5] for r in got[:3]] == want
+    assert sorted(r.turns_sha256 for r in got[3:]) == sorted([sha("user\na\n"), sha("assistant\nb\n")]) and len(got) == 5
 
 
 def brute(rows, threshold):
