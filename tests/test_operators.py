@@ -145,7 +145,9 @@ def test_files(spark, tmp_path):
     df = spark.createDataFrame([("a_b & c", 1.5)], "name string, x double")
     assert r"a\_b \& c & 1.5" in files.latex(df) and "{lr}" in files.latex(df) and "(no rows)" in files.latex(df.where("false"))
     files.write_jsonl(df, str(tmp_path / "out"))
-    assert next((tmp_path / "out").glob("*.json")).read_text().startswith('{"name"')
+    assert "".join(f.read_text() for f in (tmp_path / "out").glob("*.json")) == '{"name":"a_b & c","x":1.5}\n'
+    files.write_csv(df, str(tmp_path / "csv"))
+    assert [f.read_text() for f in (tmp_path / "csv").glob("*.csv")] == ["name,x\na_b & c,1.5\n"]
     assert json.loads(files.manifest({"t": df})) == {"t": 1}
     specs = {"g": files.SourceSpec("g", "p", "jsonl", "id")}
     assert files.resolve(specs, "all") == files.resolve(specs, "g")
