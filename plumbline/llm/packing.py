@@ -1,20 +1,24 @@
 """Bounded-space best-fit packing of token sequences.
 
-Each partition packs on its own, in one pass without a shuffle: a fixed number
-of bins is open, a bitset keyed by free space finds the fullest bin that still
-takes a piece, and when no bin takes it and all are open, the fullest closes.
-Arriving pieces are taken a block at a time, longest first.
+Documents are turned into pieces where they are read, and only the lengths and
+checksums of these are written and dealt out evenly to as many packers as there
+are part_pieces in the corpus: how the input is cut up neither changes the
+number of sequences nor gives one task most of the work. A packer has a fixed
+number of bins open; a bitset keyed by free space finds the fullest bin that
+still takes a piece, and when no bin takes it and all are open, the fullest
+closes. Arriving pieces wait in a buffer of `block`, which goes longest first.
 
 Defined results
   null or empty text: the final token alone; repeated rows: packed each
   null doc_id: packed, its doc_id stays null; extra columns: ignored
   no rows: no rows; a text longer than a sequence: cut, the first piece shorter
-Sequence numbers are partition << 32 | bin: unique in a result. A retried
-partition reads the same rows and gives the same numbers.
+Sequence numbers are packer << 32 | bin: unique in a result. A retried packer may
+get its pieces in another order, but it returns all of them again.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -22,9 +26,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm.bytebpe import ByteBpe
-from plumbline.llm.common import chunks, ship, table
+from plumbline.llm.common import chunks, materialise, ship, table
 
-SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+SCHEMA = PIECES + ", sequence_id long, offset long"
 
 
 class OpenBins:
@@ -66,41 +71,57 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, size) for s in range(first, n, size))]
 
 
-def pack(docs: DataFrame, path: str | None = None, size: int = 2048, open_bins: int = 8192, block: int = 16384, end_id: int = 0) -> DataFrame:
-    """Packs docs(doc_id, text); block: so many pieces are sorted by length before they are placed."""
-    spark = docs.sparkSession
-    ship(spark)
+def pieces(docs: DataFrame, path: str | None = None, size: int = 2048, end_id: int = 0) -> DataFrame:
+    """The rows (doc_id, piece, start, length, ids_crc32) that docs(doc_id, text) are cut into."""
+    ship(docs.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        bpe, bins = ByteBpe(path), OpenBins(size, open_bins)
-        base = TaskContext.get().partitionId() << 32
+        bpe = ByteBpe(path)
         end = np.array([end_id], "<u4").tobytes()
-        waiting: list[tuple] = []
-
-        def placed() -> pa.RecordBatch:
-            waiting.sort(key=lambda x: -x[3])
-            put = [bins.put(x[3]) for x in waiting]
-            ids, pieces, starts, lengths, crcs = (list(x) for x in zip(*waiting))
-            waiting.clear()
-            columns = [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array([base + b for b, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for doc_ids, texts in chunks(batches):
+            rows = []
             for doc_id, ids in zip(doc_ids, bpe.encode(texts)):
                 ids += end
-                for k, (s, n) in enumerate(cut(len(ids) // 4, size)):
-                    waiting.append((doc_id, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
-            if len(waiting) >= block:
-                yield placed()
-        if waiting:
-            yield placed()
-
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(run, SCHEMA)
+                rows += [(doc_id, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, size))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(run, PIECES)
+
+
+def pack(docs: DataFrame, path: str | None = None, size: int = 2048, open_bins: int = 8192, block: int = 16384, end_id: int = 0, part_pieces: int = 1_000_000) -> DataFrame:
+    """Packs docs(doc_id, text); block: so many pieces are sorted by length before they are placed; part_pieces: the most that one packer gets."""
+    cut_up = materialise(pieces(docs, path, size, end_id), "pieces")
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        bins, base = OpenBins(size, open_bins), TaskContext.get().partitionId() << 32
+        waiting, n = [], 0
+
+        def placed() -> pa.Table:
+            rows = pa.Table.from_batches(waiting)
+            lengths = rows.column("length").to_numpy()
+            order = np.argsort(-lengths, kind="stable")
+            put = np.array([bins.put(k) for k in lengths[order].tolist()], np.int64).reshape(-1, 2)
+            return rows.take(order).append_column("sequence_id", pa.array(put[:, 0] + base)).append_column("offset", pa.array(put[:, 1]))
+
+        for batch in batches:
+            waiting.append(batch)
+            n += batch.num_rows
+            if n >= block:
+                yield from placed().to_batches()
+                waiting, n = [], 0
+        if n:
+            yield from placed().to_batches()
+
+    return cut_up.repartition(max(1, math.ceil(cut_up.count() / part_pieces))).mapInArrow(run, SCHEMA)
 
 
 def op8_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,14 @@ def test_packing_is_whole_and_gapless(spark, size, bins, block):
     assert packing.pack(none(spark)).count() == 0
 
 
+def test_packing_wastes_little_however_the_input_is_cut_up(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for parts in (1, 64):
+        used = packing.pack(docs.repartition(parts)).groupBy("sequence_id").agg({"length": "sum"}).collect()
+        assert max(r[1] for r in used) <= 2048 and len(used) <= 1.01 * sum(r[1] for r in used) / 2048 + 1
+    assert {r.packer for r in packing.pack(docs, part_pieces=100).selectExpr("sequence_id >> 32 as packer").distinct().collect()} == {0, 1, 2}
+
+
 def test_packing_wastes_little():
     rng = random.Random(4)
     items = sorted((rng.randint(1, 2048) for _ in range(5000)), reverse=True)
