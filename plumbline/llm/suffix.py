@@ -453,20 +453,22 @@ def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_b
         return spark.createDataFrame([], schema)
     bits = max(0, math.ceil(math.log2(max(1, size / 80 / part_entries))))  # an anchor holds about 80 windows
     many = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = blocks.select("block").repartition(min(n, max(many, n // 2)), "block")
+    # What travels is small, what is done for a block isn't: a fixed number of tasks, which Spark won't join into few.
+    tasks = min(n, max(many, n // 2))
+    listed = blocks.select("block").repartition(tasks, "block")
     answers = listed.mapInArrow(lambda b: send(path, b, width, bits), SENT).groupBy("kind", "part").applyInArrow(lambda g: answer(g, hot), ANSWERED)
     # A block without windows sends nothing; an empty answer stands for it, so that its documents stay.
     none = blocks.select(F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("part"), "block", F.lit(b"").alias("answer"), F.lit(0).cast("long").alias("shared"), F.lit(0).cast("long").alias("heated"))
     answers = materialise(answers.unionByName(none), "suffix-answers")
     shared, heated = answers.agg(F.sum("shared"), F.sum("heated")).first()
     parts = max(1, math.ceil(shared * 2 * (width + 80) / part_bytes))
-    segments = answers.groupBy("block").applyInArrow(lambda g: emit(path, g, width, parts), "part long, block long, first long, wants boolean, bytes binary")
+    segments = answers.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: emit(path, g, width, parts), "part long, block long, first long, wants boolean, bytes binary")
     everything = answers.drop("shared", "heated").unionByName(segments.groupBy("part").applyInArrow(lambda g: search(g, width), FOUND))
     if heated:
-        windows = answers.groupBy("block").applyInArrow(lambda g: emit_hot(path, g, width, bits), "part long, ngram int, block long, n long, keys binary, counts binary")
+        windows = answers.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: emit_hot(path, g, width, bits), "part long, ngram int, block long, n long, keys binary, counts binary")
         counted = windows.groupBy("part").applyInArrow(answered, "block long, ngram int, part long, counts binary")
         everything = everything.unionByName(counted.select(F.lit(3).alias("kind"), "part", "block", F.col("counts").alias("answer")))
-    return everything.groupBy("block").applyInArrow(lambda g: result(path, g, width), schema)
+    return everything.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: result(path, g, width), schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
