@@ -104,23 +104,40 @@ def gradient(net: tuple[np.ndarray, ...], z: np.ndarray, h: np.ndarray, out: np.
     return [z.T @ inner, inner.sum(0), h.T @ out, np.array(out.sum())]
 
 
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def risks(net: tuple[np.ndarray, ...], positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """By the logistic loss: prior * R(positive as 1), and the estimate R(unlabelled as 0) - prior * R(positive as 0), which can fall below 0."""
+    fp, fu = forward(net, positive)[1], forward(net, unlabelled)[1]
+    return float(prior * np.logaddexp(0, -fp).mean()), float(np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
+
+
+def risk_gradients(net: tuple[np.ndarray, ...], positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The gradients of the two risks."""
+    hp, fp = forward(net, positive)
+    hu, fu = forward(net, unlabelled)
+    as_one = gradient(net, positive, hp, prior * (sigmoid(fp) - 1) / len(fp))
+    as_none = [a - b for a, b in zip(gradient(net, unlabelled, hu, sigmoid(fu) / len(fu)), gradient(net, positive, hp, prior * sigmoid(fp) / len(fp)))]
+    return as_one, as_none
+
+
+def step_direction(net: tuple[np.ndarray, ...], positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> list[np.ndarray]:
+    """What a step goes against. Where the estimated risk of negatives is below zero it has overfitted: the step then raises it."""
+    as_one, as_none = risk_gradients(net, positive, unlabelled, prior)
+    return [a + b for a, b in zip(as_one, as_none)] if risks(net, positive, unlabelled, prior)[1] >= 0 else [-b for b in as_none]
+
+
 def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int, hidden: int = 8, steps: int = 600, rate: float = 0.02, decay: float = 1e-3) -> tuple[np.ndarray, ...]:
-    """A network trained by Adam on the non-negative risk with the logistic loss."""
+    """A network trained by Adam on the non-negative risk."""
     rng = np.random.default_rng(seed)
     d = positive.shape[1]
     net = (rng.normal(0, 1 / math.sqrt(d), (d, hidden)), np.zeros(hidden), rng.normal(0, 1 / math.sqrt(hidden), hidden), np.array(math.log(prior / (1 - prior))))
     m, s = [np.zeros_like(p) for p in net], [np.zeros_like(p) for p in net]
     for t in range(1, steps + 1):
-        hp, fp = forward(net, positive)
-        hu, fu = forward(net, unlabelled)
-        sp, su = (1 / (1 + np.exp(-np.clip(f, -30, 30))) for f in (fp, fu))
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        as_one = gradient(net, positive, hp, prior * (sp - 1) / len(fp))
-        as_none = [a - b for a, b in zip(gradient(net, unlabelled, hu, su / len(fu)), gradient(net, positive, hp, prior * sp / len(fp)))]
-        # Below zero the estimate of the negative risk has overfitted: the step then raises it.
-        grads = [a + b for a, b in zip(as_one, as_none)] if negative >= 0 else [-b for b in as_none]
         new = []
-        for k, (p, g) in enumerate(zip(net, grads)):
+        for k, (p, g) in enumerate(zip(net, step_direction(net, positive, unlabelled, prior))):
             g = g + decay * p
             m[k] = 0.9 * m[k] + 0.1 * g
             s[k] = 0.999 * s[k] + 0.001 * g * g

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import LONG, NASTY, nasty, none
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plumbline.llm import licenses, media, minhash, ngrams, packing, suffix, toxicity, wordbpe
@@ -408,3 +409,41 @@ def test_toxicity_learns_and_survives(spark):
     empty = toxicity.learn(df, lab.where("false"))
     assert {r.score for r in toxicity.score(df, empty).collect()} == {0.0}
     assert toxicity.score(none(spark), empty).count() == 0
+
+
+def small_net(seed, scale=1.0):
+    rng = np.random.default_rng(seed)
+    net = tuple(np.array(scale * rng.normal(size=shape)) for shape in ((4, 3), (3,), (3,), ()))
+    return net, rng.normal(0.5, 1, (7, 4)), rng.normal(0, 1, (11, 4))
+
+
+def test_risk_gradients_equal_numeric_ones():
+    net, positive, unlabelled = small_net(3)
+    for which in (0, 1):
+        found = toxicity.risk_gradients(net, positive, unlabelled, 0.3)[which]
+        for k, part in enumerate(net):
+            for at in np.ndindex(part.shape):
+                def risk(by, k=k, at=at):
+                    moved = [np.array(p) for p in net]
+                    moved[k][at] += by
+                    return toxicity.risks(tuple(moved), positive, unlabelled, 0.3)[which]
+
+                assert abs((risk(1e-5) - risk(-1e-5)) / 2e-5 - found[k][at]) < 1e-7
+
+
+def test_a_negative_estimate_is_raised():
+    for seed in range(200):
+        net, positive, unlabelled = small_net(seed, 3.0)
+        one, none = toxicity.risks(net, positive, unlabelled, 0.6)
+        moved = tuple(p - 1e-5 * g for p, g in zip(net, toxicity.step_direction(net, positive, unlabelled, 0.6)))
+        after = toxicity.risks(moved, positive, unlabelled, 0.6)
+        assert after[1] > none if none < 0 else sum(after) <= one + none
+    assert any(toxicity.risks(*small_net(s, 3.0), 0.6)[1] < 0 for s in range(200)) and any(toxicity.risks(*small_net(s, 3.0), 0.6)[1] >= 0 for s in range(200))
+
+
+def test_repeated_rows_score_alike(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    twice = docs.unionByName(docs.select("doc_id", F.lit(None).cast("string").alias("text"), "lang", "source", "n_chars")).unionByName(docs)
+    got = toxicity.score(twice, model).groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("score").alias("scores")).collect()
+    assert all(r.n == 3 and r.scores <= 2 for r in got)
