@@ -4,15 +4,16 @@
 2. Each block is exploded to its words, pairs and triples; equal ones are
    counted within the block, and their 64-bit hashes go, sorted and as packed
    differences, to the table partition that their first bits name.
-3. A table partition adds the counts of all blocks and answers each block with
-   the counts of what it sent, in the order sent.
-4. Each block is joined to its answers, scored token by token, and summed per
-   document. A block's numbers are aligned with what it sent, so that nothing
-   is looked up and no table is held whole by anyone.
+3. A table partition adds the counts of all blocks: that is its part of the
+   count table (count_table). What the blocks sent is partitioned alike, so it
+   is joined to the table where it is, and each block gets the counts of what it
+   sent, in the order sent.
+4. Each block is scored token by token from these, and summed per document.
 
     S(w | u v) = c(u v w) / c(u v)   if c(u v w) >= min_count, else
                  a * S(w | v);  S(w | v) = c(v w) / c(v) if c(v w) >= min_count,
                  else a * c(w) / N
+A min_count above 1 prunes the table: what stands in it less often counts as unseen.
 The first token of a document is scored as a single word, the second as a pair,
 without a penalty. Words: lower case, parted by spaces, tabs and line ends.
 
@@ -115,21 +116,38 @@ def sent(path: str, blocks: Iterator, bits: int) -> Iterator:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i : i + 64]], kind) for k, kind in enumerate(kinds)], ["part", "ngram", "block", "n", "keys", "counts"])
 
 
-def answered(group):
-    """Per block the corpus counts of what it sent to this table partition."""
-    import pyarrow as pa
-
+def entries_of(group) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """How many n-grams each block sent to a table partition, their hashes and their counts."""
     sizes = group.column("n").to_pylist()
     keys = np.concatenate([unpack_keys(k.as_py(), n) for k, n in zip(group.column("keys"), sizes)])
-    counts = np.concatenate([unpack_counts(c.as_py()) for c in group.column("counts")])
+    return sizes, keys, np.concatenate([unpack_counts(c.as_py()) for c in group.column("counts")])
+
+
+def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes with the sums of their counts: a partition of the count table."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
-    new = np.append(True, ranked[1:] != ranked[:-1])
-    total = np.add.reduceat(counts[order], np.flatnonzero(new))
-    back = np.empty(len(keys), np.int64)
-    back[order] = total[np.cumsum(new) - 1]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    return ranked[first], np.add.reduceat(counts[order], first)
+
+
+def answered(group):
+    """Per block the corpus counts of what it sent to this table partition: its n-grams joined to the count table."""
+    import pyarrow as pa
+
+    sizes, keys, counts = entries_of(group)
+    distinct, total = totals(keys, counts)
     ends = np.cumsum(sizes).tolist()
-    return pa.table({"block": group.column("block"), "ngram": group.column("ngram"), "part": group.column("part"), "counts": pa.array([pack_counts(back[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())})
+    found = [total[np.searchsorted(distinct, keys[a:b])] for a, b in zip([0, *ends], ends)]
+    return pa.table({"block": group.column("block"), "ngram": group.column("ngram"), "part": group.column("part"), "counts": pa.array([pack_counts(f) for f in found], pa.binary())})
+
+
+def tabled(group):
+    """A table partition as rows (ngram, hash, n)."""
+    import pyarrow as pa
+
+    distinct, total = totals(*entries_of(group)[1:])
+    return pa.table({"ngram": pa.array([group.column("ngram")[0].as_py()] * len(distinct), pa.int32()), "hash": pa.array(distinct.view(np.int64)), "n": pa.array(total)})
 
 
 def scored(path: str, group, total: int, penalty: float, min_count: int):
@@ -163,27 +181,41 @@ def scored(path: str, group, total: int, penalty: float, min_count: int):
     return pa.table({"doc_id": rows.column("doc_id"), "n_tokens": pa.array(count, pa.int64()), "log_score": pa.array(np.round(score, 4), pa.float64()), "mean_log_score": pa.array(mean, pa.float64())})
 
 
-def backoff_scores(docs: DataFrame, penalty: float = 0.4, min_count: int = 2, block_chars: int = 8_000_000, table_chars: int = 16_000_000) -> DataFrame:
-    """(doc_id, n_tokens, log_score, mean_log_score) of each row of docs(doc_id, text), by counts over all of docs."""
+def exploded(docs: DataFrame, block_chars: int, table_chars: int) -> tuple[str, DataFrame, DataFrame | None, int]:
+    """(folder, blocks, entries, tokens): docs(doc_id, text) written in blocks, and their n-grams partitioned by hash; no entries without rows."""
     spark = docs.sparkSession
     ship(spark)
     path = work_path(spark, "ngram-blocks")
-
     blocks = write_blocks(docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text"), path, block_chars, count_tokens)
     n, chars, total = blocks.agg(F.count(F.lit(1)), F.sum("size"), F.sum("measure")).first()
     if not n:
-        return spark.createDataFrame([], SCHEMA)
+        return path, blocks, None, 0
     bits = max(0, math.ceil(math.log2(max(1, chars / table_chars))))
 
     def send(batches: Iterator) -> Iterator:
         return sent(path, batches, bits)
 
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = blocks.select("block").repartition(min(n, max(many, n // 2)), "block")
+    return path, blocks, listed.mapInArrow(send, "part long, ngram int, block long, n long, keys binary, counts binary"), total
+
+
+def count_table(docs: DataFrame, block_chars: int = 8_000_000, table_chars: int = 16_000_000) -> DataFrame:
+    """(ngram, hash, n): how often each word (0), pair (1) and triple (2) stands in docs, by its hash."""
+    _, blocks, entries, _ = exploded(docs, block_chars, table_chars)
+    schema = "ngram int, hash long, n long"
+    return docs.sparkSession.createDataFrame([], schema) if entries is None else entries.groupBy("ngram", "part").applyInArrow(tabled, schema)
+
+
+def backoff_scores(docs: DataFrame, penalty: float = 0.4, min_count: int = 1, block_chars: int = 8_000_000, table_chars: int = 16_000_000) -> DataFrame:
+    """(doc_id, n_tokens, log_score, mean_log_score) of each row of docs(doc_id, text), by counts over all of docs."""
+    path, blocks, entries, total = exploded(docs, block_chars, table_chars)
+    if entries is None:
+        return docs.sparkSession.createDataFrame([], SCHEMA)
+
     def score(group):
         return scored(path, group, total, penalty, min_count)
 
-    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = blocks.select("block").repartition(min(n, max(many, n // 2)), "block")
-    entries = listed.mapInArrow(send, "part long, ngram int, block long, n long, keys binary, counts binary")
     answers = entries.groupBy("ngram", "part").applyInArrow(answered, "block long, ngram int, part long, counts binary")
     # A block without a token sends nothing and gets no answer: an empty one stands in, so that its documents stay.
     nothing = blocks.where("measure = 0").select("block", F.lit(0).alias("ngram"), F.lit(-1).cast("long").alias("part"), F.lit(pack_counts(np.zeros(0, np.int64))).alias("counts"))
@@ -208,8 +240,8 @@ j AS (
   LEFT JOIN c2 e ON e.v = t.z AND e.w = t.v LEFT JOIN c3 f ON f.z = t.z AND f.v = t.v AND f.w = t.w),
 s AS (
   SELECT row_no, CASE
-    WHEN pos >= 3 AND n3 >= 2 THEN ln(n3 / n2zv)
-    WHEN pos >= 2 AND n2 >= 2 THEN (CASE WHEN pos >= 3 THEN ln(0.4) ELSE 0 END) + ln(n2 / n1v)
+    WHEN pos >= 3 AND n3 >= 1 THEN ln(n3 / n2zv)
+    WHEN pos >= 2 AND n2 >= 1 THEN (CASE WHEN pos >= 3 THEN ln(0.4) ELSE 0 END) + ln(n2 / n1v)
     ELSE least(pos - 1, 2) * ln(0.4) + ln(n1 / total) END AS s
   FROM j),
 g AS (SELECT row_no, count(*) AS n, sum(s) AS s FROM s GROUP BY row_no)

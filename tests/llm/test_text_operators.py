@@ -189,7 +189,8 @@ def test_suffix_dedup_cuts_rows_at_characters(spark):
     assert sorted(r.text for r in suffix.remove_repeats(two, width=11, cut=True).collect()) == ["x", "yy"]
 
 
-def test_lm_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("least", [1, 2])
+def test_lm_scores_equal_brute_force(spark, least):
     import math
 
     rows = [("a b a b c", 1), ("a b a b c", 2), (None, 3), ("A\tB z", 4), ("", None), ("a", 1)]
@@ -201,13 +202,15 @@ def test_lm_scores_equal_brute_force(spark):
         n = len(gram)
         if n == 1:
             return math.log(c[0][gram] / total)
-        return math.log(c[n - 1][gram] / c[n - 2][gram[:-1]]) if c[n - 1][gram] >= 2 else math.log(0.4) + s(gram[1:])
+        return math.log(c[n - 1][gram] / c[n - 2][gram[:-1]]) if c[n - 1][gram] >= least else math.log(0.4) + s(gram[1:])
 
     want = [(i, len(d), round(float(sum(s(tuple(d[max(0, k - 2) : k + 1])) for k in range(len(d)))), 4)) for (_, i), d in zip(rows, docs)]
     df = spark.createDataFrame([(i, t, 1) for t, i in rows], "doc_id long, text string, part long").repartition(3)
     for chars in (8_000_000, 4):
-        got = ngrams.backoff_scores(df, block_chars=chars, table_chars=8 if chars == 4 else 16_000_000).collect()
+        got = ngrams.backoff_scores(df, min_count=least, block_chars=chars, table_chars=8 if chars == 4 else 16_000_000).collect()
         assert sorted(map(repr, [tuple(r)[:3] for r in got])) == sorted(map(repr, want))
+        found = ngrams.count_table(df, block_chars=chars, table_chars=8 if chars == 4 else 16_000_000).collect()
+        assert [sorted(r.n for r in found if r.ngram == k) for k in range(3)] == [sorted(x.values()) for x in c] and len({(r.ngram, r.hash) for r in found}) == len(found)
     assert ngrams.backoff_scores(none(spark)).count() == 0 and ngrams.backoff_scores(nasty(spark)).count() == len(NASTY)
 
 
