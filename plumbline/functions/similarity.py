@@ -40,13 +40,23 @@ def token_set_ratio(a: str | None, b: str | None) -> float:
     return best
 
 
-def token_set(a: Column, b: Column) -> Column:
-    """Similarity of two names, 0 to 1, over their normalised words; 0 if either has none."""
+@pandas_udf(DoubleType())
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    known: dict[tuple, float] = {}  # of a batch's pairs, each is worked out once
+    for pair in zip(a, b):
+        if pair not in known:
+            known[pair] = token_set_ratio(*pair)
+    return pd.Series([known[pair] for pair in zip(a, b)], dtype="float64")
+
 
-    def ratios(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([token_set_ratio(p, q) for p, q in zip(x, y)])
+def token_set_of(a: Column, b: Column) -> Column:
+    """Similarity of two names that are normalised already, 0 to 1; 0 if either has no word."""
+    return _ratios(a, b)
 
-    return pandas_udf(ratios, DoubleType())(normal_name(a), normal_name(b))
+
+def token_set(a: Column, b: Column) -> Column:
+    """Similarity of two names, 0 to 1, over their normalised words; 0 if either has none."""
+    return token_set_of(normal_name(a), normal_name(b))
 
 
 def jaccard(a: Column, b: Column) -> Column:

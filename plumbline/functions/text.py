@@ -136,3 +136,18 @@ def chain_brand(c: Column, brands: list[str]) -> Column:
     for b in sorted(brands, key=len):
         out = F.when((name == b) | name.startswith(b + " "), b).otherwise(out)
     return out
+
+
+def pair_brand(a: Column, b: Column) -> Column:
+    """The brand of a pair: that of either side, both in order where they differ, null without one."""
+    both = F.array_sort(F.array_distinct(F.array_compact(F.array(a, b))))
+    return F.nullif(F.array_join(both, "|"), F.lit(""))
+
+
+#: Places of the region that are no part of the city.
+OUTSKIRTS = ("assago", "corsico", "rho", "segrate", "sesto san giovanni", "monza")
+
+
+def out_of_area(city: Column, outskirts: tuple[str, ...] = OUTSKIRTS) -> Column:
+    """A city that is known to lie outside."""
+    return F.coalesce(F.lower(F.trim(city)).isin(*outskirts), F.lit(False))

@@ -39,3 +39,13 @@ def token_pairs(anchors: DataFrame, sources: DataFrame, least: int = 4) -> DataF
     for df, key in ((anchors, "a_id"), (sources, "s_id")):
         sides.append(df.where(F.trim("place") != "").select(F.col("id").alias(key), "place", F.explode(tokens(F.col("name"), least)).alias("token")))
     return sides[0].join(sides[1], ["place", "token"]).select("a_id", "s_id").distinct()
+
+
+def blocked(anchors: DataFrame, sources: DataFrame, radius_m: float = 150.0) -> DataFrame:
+    """(a_id, s_id, geo_dist_m, block_source) of every source: pairs by distance where it has coordinates, by place and word where it has a place only, else one row without an anchor."""
+    here = F.coalesce(valid_coordinate(F.col("latitude"), F.col("longitude")), F.lit(False))
+    placed = F.trim(F.coalesce(F.col("place"), F.lit(""))) != ""
+    by_geo = geo_pairs(anchors, sources.where(here), radius_m).withColumn("block_source", F.lit("geo"))
+    by_word = token_pairs(anchors, sources.where(~here & placed)).select("a_id", "s_id", F.lit(None).cast("double").alias("geo_dist_m"), F.lit("postal_code").alias("block_source"))
+    rest = sources.where(~here & ~placed).select(F.lit(None).cast("long").alias("a_id"), F.col("id").alias("s_id"), F.lit(None).cast("double").alias("geo_dist_m"), F.lit("unblockable").alias("block_source"))
+    return by_geo.unionByName(by_word).unionByName(rest)

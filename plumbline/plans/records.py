@@ -132,10 +132,15 @@ BASE = f"""
 WITH anchors AS (SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS place, {POINT[0]} AS latitude, {POINT[1]} AS longitude, c_custkey % 37 AS phone, c_custkey % 41 AS website, c_custkey % 10 = 0 AS is_chain, p_name AS name, p_brand AS street FROM customer JOIN part ON p_partkey = c_custkey),
 sources AS (SELECT s_suppkey AS id, CAST(s_nationkey AS VARCHAR) AS place, 45.35 + ((s_suppkey * 6007) % 2300) / 10000.0::DOUBLE AS latitude, 9.0 + ((s_suppkey * 50021) % 3500) / 10000.0::DOUBLE AS longitude, s_suppkey % 37 AS phone, s_suppkey % 41 AS website, CASE WHEN s_suppkey % 2 = 0 THEN 'tripadvisor' ELSE 'thefork' END AS source, p_name AS name, p_brand AS street FROM supplier JOIN part ON p_partkey = s_suppkey * 3),
 pairs AS (SELECT a.id AS a_id, s.id AS s_id, {DISTANCE_SQL.format(a='a.latitude', b='a.longitude', c='s.latitude', d='s.longitude')} AS geo_dist_m FROM anchors a, sources s WHERE {DISTANCE_SQL.format(a='a.latitude', b='a.longitude', c='s.latitude', d='s.longitude')} <= {RADIUS}),
-words AS (SELECT 'a' AS side, id, list_distinct(list_filter(string_split(lower(name), ' '), lambda t: length(t) >= 4)) AS w FROM anchors UNION ALL SELECT 's', id, list_distinct(list_filter(string_split(lower(name), ' '), lambda t: length(t) >= 4)) FROM sources),
-features AS (SELECT a_id, s_id, source, geo_dist_m, CASE WHEN len(wa.w) > 0 AND len(ws.w) > 0 THEN len(list_intersect(wa.w, ws.w)) / len(list_distinct(list_concat(wa.w, ws.w))) ELSE 0 END AS name_sim,
-  1 - least(geo_dist_m, 500) / 500 AS geo_score, CAST(a.street = s.street AS DOUBLE) AS street_sim, CAST(a.phone = s.phone AS DOUBLE) AS phone_match, CAST(a.website = s.website AS DOUBLE) AS website_match, a.is_chain
-  FROM pairs JOIN anchors a ON a.id = a_id JOIN sources s ON s.id = s_id JOIN words wa ON wa.side = 'a' AND wa.id = a_id JOIN words ws ON ws.side = 's' AND ws.id = s_id),
+compared AS (SELECT DISTINCT a.x, s.y FROM (SELECT DISTINCT name AS x FROM anchors) a, (SELECT DISTINCT name AS y FROM sources) s UNION SELECT a.x, s.y FROM (SELECT DISTINCT street AS x FROM anchors) a, (SELECT DISTINCT street AS y FROM sources) s),
+worded AS (SELECT x, y, list_sort(list_distinct(string_split(trim(regexp_replace(lower(x), '[[:punct:]\\s]+', ' ', 'g')), ' '))) AS p, list_sort(list_distinct(string_split(trim(regexp_replace(lower(y), '[[:punct:]\\s]+', ' ', 'g')), ' '))) AS q FROM compared),
+parted AS (SELECT x, y, array_to_string(list_sort(list_intersect(p, q)), ' ') AS shared_w, array_to_string(list_filter(p, lambda w: NOT list_contains(q, w)), ' ') AS l, array_to_string(list_filter(q, lambda w: NOT list_contains(p, w)), ' ') AS r FROM worded),
+joined AS (SELECT *, trim(shared_w || ' ' || l) AS one, trim(shared_w || ' ' || r) AS two FROM parted),
+longest AS (SELECT *, list_reduce(list_transform(string_split(two, ''), lambda c: [ord(c)]), lambda line, c: list_reduce(list_transform(range(1, length(one) + 1), lambda j: [CAST(j AS INTEGER)]), lambda built, j: list_append(built, CASE WHEN ord(one[j[1]]) = c[1] THEN line[j[1]] + 1 ELSE greatest(line[j[1] + 1], built[-1]) END), [0]), list_transform(range(0, length(one) + 1), lambda j: 0))[-1] AS common FROM joined),
+sims AS (SELECT x, y, CASE WHEN shared_w <> '' AND (l = '' OR r = '') THEN 1.0::DOUBLE WHEN shared_w <> '' THEN greatest(2.0::DOUBLE * common / (length(one) + length(two)), 2.0::DOUBLE * length(shared_w) / (length(shared_w) + length(one)), 2.0::DOUBLE * length(shared_w) / (length(shared_w) + length(two))) ELSE 2.0::DOUBLE * common / (length(one) + length(two)) END AS sim FROM longest),
+features AS (SELECT a_id, s_id, source, geo_dist_m, n.sim AS name_sim,
+  1 - least(geo_dist_m, 500) / 500 AS geo_score, t.sim AS street_sim, CAST(a.phone = s.phone AS DOUBLE) AS phone_match, CAST(a.website = s.website AS DOUBLE) AS website_match, a.is_chain, a.name AS a_name, s.name AS s_name
+  FROM pairs JOIN anchors a ON a.id = a_id JOIN sources s ON s.id = s_id JOIN sims n ON n.x = a.name AND n.y = s.name JOIN sims t ON t.x = a.street AND t.y = s.street),
 scored AS (SELECT *, CASE source WHEN 'tripadvisor' THEN .40 * name_sim + .25 * geo_score + .10 * street_sim + .15 * phone_match + .10 * website_match ELSE .50 * name_sim + .35 * geo_score + .15 * street_sim END AS score FROM features),
 labelled AS (SELECT *, CASE WHEN score >= .6 THEN 'MATCH' WHEN score <= .2 THEN 'NON_MATCH' ELSE 'UNCERTAIN' END AS raw FROM scored),
 hardened AS (SELECT *, CASE WHEN is_chain AND phone_match = 0 AND raw <> 'NON_MATCH' AND geo_dist_m > 75 THEN 'UNCERTAIN' ELSE raw END AS label, CASE WHEN is_chain AND phone_match = 0 AND raw <> 'NON_MATCH' AND geo_dist_m > 75 THEN 'chain_distance_gt_auto_match_radius' ELSE '' END AS hardening FROM labelled)
@@ -143,17 +148,19 @@ hardened AS (SELECT *, CASE WHEN is_chain AND phone_match = 0 AND raw <> 'NON_MA
 THRESHOLDS = scoring.Thresholds(default=(0.2, 0.6))
 
 
+def described(rows, k: str, *more: str):
+    """The columns of one side of a pair; names are normalised here, once a record."""
+    return rows.select(F.col("id").alias(f"{k}_id"), F.col("name").alias(f"{k}_name"), text.normal_name(F.col("name")).alias(f"{k}_words"), text.normal_name(F.col("street")).alias(f"{k}_street"), F.col("phone").alias(f"{k}_phone"), F.col("website").alias(f"{k}_website"), *more)
+
+
 def features(spark, sf_dir):
     a, s = anchors(spark, sf_dir), sources(spark, sf_dir)
-    pairs = blocking.geo_pairs(a, s, RADIUS)
-    left = a.select(F.col("id").alias("a_id"), F.col("name").alias("a_name"), F.col("street").alias("a_street"), F.col("phone").alias("a_phone"), F.col("website").alias("a_website"), "is_chain")
-    right = s.select(F.col("id").alias("s_id"), F.col("name").alias("s_name"), F.col("street").alias("s_street"), F.col("phone").alias("s_phone"), F.col("website").alias("s_website"), "source")
-    both = pairs.join(left, "a_id").join(right, "s_id")
+    both = blocking.geo_pairs(a, s, RADIUS).join(described(a, "a", "is_chain"), "a_id").join(described(s, "s", "source"), "s_id")
     return both.select(
         "a_id", "s_id", "source", "geo_dist_m", "is_chain", "a_name", "s_name",
-        similarity.jaccard(text.tokens(F.col("a_name")), text.tokens(F.col("s_name"))).alias("name_sim"),
+        similarity.token_set_of(F.col("a_words"), F.col("s_words")).alias("name_sim"),
         similarity.geo_score(F.col("geo_dist_m")).alias("geo_score"),
-        similarity.exact(F.col("a_street"), F.col("s_street")).alias("street_sim"),
+        similarity.token_set_of(F.col("a_street"), F.col("s_street")).alias("street_sim"),
         (F.col("a_phone") == F.col("s_phone")).cast("double").alias("phone_match"),
         (F.col("a_website") == F.col("s_website")).cast("double").alias("website_match"),
     ).withColumn("phone_equal", F.col("phone_match") == 1).withColumn("website_equal", F.col("website_match") == 1)
@@ -173,16 +180,36 @@ def er_token_block(spark, sf_dir):
     return blocking.token_pairs(anchors(spark, sf_dir), sources(spark, sf_dir))
 
 
-@query(BASE + "SELECT a_id, s_id, round(name_sim, 6) AS name_sim, round(geo_score, 6) AS geo_score, street_sim, phone_match, website_match FROM features")
+@query(BASE + "SELECT a_id, s_id, round(name_sim, 6) AS name_sim, round(geo_score, 6) AS geo_score, round(street_sim, 6) AS street_sim, phone_match, website_match FROM features")
 def er_features(spark, sf_dir):
-    return features(spark, sf_dir).select("a_id", "s_id", F.round("name_sim", 6).alias("name_sim"), F.round("geo_score", 6).alias("geo_score"), "street_sim", "phone_match", "website_match")
+    return features(spark, sf_dir).select("a_id", "s_id", F.round("name_sim", 6).alias("name_sim"), F.round("geo_score", 6).alias("geo_score"), F.round("street_sim", 6).alias("street_sim"), "phone_match", "website_match")
 
 
-@query(None)
+@query(BASE + "SELECT DISTINCT a_name, s_name, round(name_sim, 6) AS name_sim FROM features")
 def er_name_similarity(spark, sf_dir):
-    """The token-set ratio, worked out once for each distinct pair of names."""
-    names = features(spark, sf_dir).select("a_name", "s_name").distinct()
-    return names.select("a_name", "s_name", F.round(similarity.token_set(F.col("a_name"), F.col("s_name")), 6).alias("name_sim"))
+    """The token-set ratio of each distinct pair of names that meet."""
+    return features(spark, sf_dir).select("a_name", "s_name", F.round("name_sim", 6).alias("name_sim")).distinct()
+
+
+@query(BASE + """, located AS (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN NULL ELSE latitude END AS latitude, CASE WHEN id % 2 = 0 THEN '' ELSE place END AS place) FROM sources)
+SELECT a_id, s_id, 'geo' AS block_source FROM pairs WHERE s_id % 3 <> 0
+UNION ALL SELECT DISTINCT a.id, s.id, 'postal_code' FROM (SELECT id, place, unnest(string_split(lower(name), ' ')) AS w FROM anchors) a JOIN (SELECT id, place, unnest(string_split(lower(name), ' ')) AS w FROM located WHERE latitude IS NULL AND place <> '') s ON a.place = s.place AND a.w = s.w AND length(a.w) >= 4
+UNION ALL SELECT NULL, id, 'unblockable' FROM located WHERE latitude IS NULL AND place = ''""")
+def er_blocks(spark, sf_dir):
+    """All candidates by the block that they come from; sources without coordinates and place stay as rows of their own."""
+    some = sources(spark, sf_dir).withColumn("latitude", F.when(F.col("id") % 3 != 0, F.col("latitude"))).withColumn("place", F.when(F.col("id") % 2 == 0, "").otherwise(F.col("place")))
+    return blocking.blocked(anchors(spark, sf_dir), some, RADIUS).select("a_id", "s_id", "block_source")
+
+
+BRANDS = ["red", "blue", "small"]
+
+
+@query(BASE + """, branded AS (SELECT a_id, s_id, """ + ", ".join(f"CASE {' '.join(f"WHEN {k}_name = '{b}' OR {k}_name LIKE '{b} %' THEN '{b}'" for b in BRANDS)} END AS {k}_brand" for k in "as") + """ FROM features)
+SELECT a_id, s_id, CASE WHEN a_brand IS NULL OR s_brand IS NULL OR a_brand = s_brand THEN coalesce(a_brand, s_brand) ELSE least(a_brand, s_brand) || '|' || greatest(a_brand, s_brand) END AS brand FROM branded WHERE coalesce(a_brand, s_brand) IS NOT NULL""")
+def er_chain_brands(spark, sf_dir):
+    """The brand of each pair of which a side belongs to a chain."""
+    brand = lambda k: text.chain_brand(F.col(f"{k}_name"), BRANDS)
+    return features(spark, sf_dir).select("a_id", "s_id", text.pair_brand(brand("a"), brand("s")).alias("brand")).where("brand is not null")
 
 
 @query(BASE + "SELECT a_id, s_id, round(score, 6) AS score, raw AS label FROM labelled")
