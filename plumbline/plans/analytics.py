@@ -67,7 +67,7 @@ def volume_sql(c: str) -> str:
 
 @query(SQL + "SELECT has_google, has_tripadvisor, has_thefork, count(*) AS restaurants FROM listing GROUP BY 1, 2, 3")
 def q0_coverage(spark, sf_dir):
-    return listing(spark, sf_dir).groupBy("has_google", "has_tripadvisor", "has_thefork").agg(n().alias("restaurants"))
+    return listing(spark, sf_dir, "lines").groupBy("has_google", "has_tripadvisor", "has_thefork").agg(n().alias("restaurants"))
 
 
 @query(SQL + f"""SELECT coalesce(coverage, '') AS coverage, count(*) AS restaurants, round(avg(rating_range_5), 6) AS mean_range, round(stddev_samp(rating_range_5), 6) AS sd_range,
@@ -76,7 +76,7 @@ FROM (SELECT CAST(rating_platform_count AS VARCHAR) AS coverage, rating_range_5
 def q1_summary(spark, sf_dir):
     x = F.col("rating_range_5")
     return (
-        listing(spark, sf_dir).where(rated()).select(coverage().alias("coverage"), "rating_range_5").rollup("coverage")
+        listing(spark, sf_dir, "lines").where(rated()).select(coverage().alias("coverage"), "rating_range_5").rollup("coverage")
         .agg(n().alias("restaurants"), r6(F.avg(x)).alias("mean_range"), r6(F.stddev_samp(x)).alias("sd_range"), r6(F.percentile(x, F.lit(0.9))).alias("p90_range"), r6(F.max(x)).alias("max_range"), share(x <= 0.5).alias("pct_within_0_5"), share(x <= 1.0).alias("pct_within_1_0"))
         .withColumn("coverage", F.coalesce("coverage", F.lit("")))
     )
@@ -84,7 +84,7 @@ def q1_summary(spark, sf_dir):
 
 @query(SQL + f"SELECT floor(rating_range_5 / 0.25) * 0.25 AS bin_start, count(*) AS restaurants FROM listing WHERE {RATED} GROUP BY 1")
 def q1_histogram(spark, sf_dir):
-    return listing(spark, sf_dir).where(rated()).groupBy((F.floor(F.col("rating_range_5") / 0.25) * F.lit(0.25).cast("double")).alias("bin_start")).agg(n().alias("restaurants"))
+    return listing(spark, sf_dir, "lines").where(rated()).groupBy((F.floor(F.col("rating_range_5") / 0.25) * F.lit(0.25).cast("double")).alias("bin_start")).agg(n().alias("restaurants"))
 
 
 BANDS = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0)
@@ -92,13 +92,13 @@ BANDS = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0)
 
 @query(SQL + "SELECT count(*) AS restaurants, " + ", ".join(f"round(100 * avg((rating_range_5 <= {b})::INTEGER), 6) AS within_{str(b).replace('.', '_')}" for b in BANDS) + f" FROM listing WHERE {RATED}")
 def q1_tolerance_bands(spark, sf_dir):
-    return listing(spark, sf_dir).where(rated()).agg(n().alias("restaurants"), *[share(F.col("rating_range_5") <= b).alias(f"within_{str(b).replace('.', '_')}") for b in BANDS])
+    return listing(spark, sf_dir, "lines").where(rated()).agg(n().alias("restaurants"), *[share(F.col("rating_range_5") <= b).alias(f"within_{str(b).replace('.', '_')}") for b in BANDS])
 
 
 @query(SQL + "SELECT pair, count(*) AS venues, round(avg(abs(a - b)), 6) AS mean_abs_diff, round(median(abs(a - b)), 6) AS median_abs_diff, round(100 * avg((abs(a - b) <= 0.5)::INTEGER), 6) AS pct_within_0_5, round(100 * avg((abs(a - b) <= 1.0)::INTEGER), 6) AS pct_within_1_0 FROM pairs GROUP BY pair")
 def q1_pairwise_agreement(spark, sf_dir):
     d = F.abs(F.col("a") - F.col("b"))
-    return pair_form(listing(spark, sf_dir)).groupBy("pair").agg(n().alias("venues"), r6(F.avg(d)).alias("mean_abs_diff"), r6(F.median(d)).alias("median_abs_diff"), share(d <= 0.5).alias("pct_within_0_5"), share(d <= 1.0).alias("pct_within_1_0"))
+    return pair_form(listing(spark, sf_dir, "lines")).groupBy("pair").agg(n().alias("venues"), r6(F.avg(d)).alias("mean_abs_diff"), r6(F.median(d)).alias("median_abs_diff"), share(d <= 0.5).alias("pct_within_0_5"), share(d <= 1.0).alias("pct_within_1_0"))
 
 
 def top_pair(venues: DataFrame, a: str, b: str, min_diff: float, min_a: int, min_b: int, top_n: int) -> DataFrame:
@@ -116,21 +116,21 @@ WHERE {a}_rating_5 IS NOT NULL AND {b}_rating_5 IS NOT NULL AND abs({a}_rating_5
 
 @query(top_pair_sql("google", "tripadvisor", 1.0, 0, 0, 20))
 def q2_top_pair(spark, sf_dir):
-    return top_pair(listing(spark, sf_dir), "google", "tripadvisor", 1.0, 0, 0, 20)
+    return top_pair(listing(spark, sf_dir, "nation"), "google", "tripadvisor", 1.0, 0, 0, 20)
 
 
 @query(top_pair_sql("google", "thefork", 1.0, SPARSE, SPARSE, 20))
 def q2_top_pair_robust(spark, sf_dir):
-    return top_pair(listing(spark, sf_dir), "google", "thefork", 1.0, SPARSE, SPARSE, 20)
+    return top_pair(listing(spark, sf_dir, "nation"), "google", "thefork", 1.0, SPARSE, SPARSE, 20)
 
 
 @query(SQL + "SELECT id, name, street, google_rating_5, tripadvisor_rating_5, thefork_rating_5, round(rating_range_5, 6) AS rating_range_5 FROM listing WHERE platform_count = 3 AND rating_range_5 IS NOT NULL ORDER BY 7 DESC, id LIMIT 20")
 def q2_top_all_three(spark, sf_dir):
-    return listing(spark, sf_dir).where("platform_count = 3 and rating_range_5 is not null").select("id", "name", "street", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id").limit(20)
+    return listing(spark, sf_dir, "nation").where("platform_count = 3 and rating_range_5 is not null").select("id", "name", "street", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id").limit(20)
 
 
 def spread(spark, sf_dir):
-    return listing(spark, sf_dir).where(rated()).select("id", coverage().alias("coverage"), "rating_range_5", least_reviews().alias("least_reviews"), total_reviews().alias("total_reviews")).where("least_reviews is not null")
+    return listing(spark, sf_dir, "lines").where(rated()).select("id", coverage().alias("coverage"), "rating_range_5", least_reviews().alias("least_reviews"), total_reviews().alias("total_reviews")).where("least_reviews is not null")
 
 
 SPREAD = f"(SELECT id, CAST(rating_platform_count AS VARCHAR) AS coverage, rating_range_5, {LEAST} AS least_reviews, {TOTAL} AS total_reviews FROM listing WHERE {RATED} AND {LEAST} IS NOT NULL)"
@@ -154,7 +154,7 @@ def q3_scatter_rows(spark, sf_dir):
 
 
 def rated_long(spark, sf_dir):
-    return long_form(listing(spark, sf_dir), "id", "rating_avg_5", "rating_platform_count").where("rating is not null and reviews is not null")
+    return long_form(listing(spark, sf_dir, "lines"), "id", "rating_avg_5", "rating_platform_count").where("rating is not null and reviews is not null")
 
 
 LONG = "long WHERE rating IS NOT NULL AND reviews IS NOT NULL"
@@ -231,25 +231,25 @@ def q4_welch_levene(spark, sf_dir):
 
 @query(SQL + f"SELECT id, google_rating_5, tripadvisor_rating_5, thefork_rating_5, round(rating_avg_5, 6) AS rating_avg_5, rating_platform_count FROM listing WHERE rating_platform_count >= {MIN_PLATFORMS}")
 def q5_platform_rows(spark, sf_dir):
-    return listing(spark, sf_dir).where(F.col("rating_platform_count") >= MIN_PLATFORMS).select("id", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_avg_5")).alias("rating_avg_5"), "rating_platform_count")
+    return listing(spark, sf_dir, "lines").where(F.col("rating_platform_count") >= MIN_PLATFORMS).select("id", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_avg_5")).alias("rating_avg_5"), "rating_platform_count")
 
 
 @query(SQL + "SELECT pair, count(*) AS venues, round(avg(a - b), 6) AS mean_diff FROM pairs GROUP BY pair")
 def q5_pairwise_differences(spark, sf_dir):
-    return pair_form(listing(spark, sf_dir)).groupBy("pair").agg(n().alias("venues"), r6(F.avg(F.col("a") - F.col("b"))).alias("mean_diff"))
+    return pair_form(listing(spark, sf_dir, "lines")).groupBy("pair").agg(n().alias("venues"), r6(F.avg(F.col("a") - F.col("b"))).alias("mean_diff"))
 
 
 @query(SQL + f"SELECT platform, count(*) AS venues, round(avg(rating), 6) AS raw_mean, round(avg(rating - (rating_avg_5 * rating_platform_count - rating) / (rating_platform_count - 1)), 6) AS loo_bias, round(avg(rating - rating_avg_5), 6) AS consensus_dev FROM long WHERE rating IS NOT NULL AND rating_platform_count >= {MIN_PLATFORMS} GROUP BY platform")
 def q5_platform_bias(spark, sf_dir):
     """A platform's mean, its mean distance from the mean of the others, and from the consensus."""
-    rows = long_form(listing(spark, sf_dir), "rating_avg_5", "rating_platform_count").where(F.col("rating").isNotNull() & (F.col("rating_platform_count") >= MIN_PLATFORMS))
+    rows = long_form(listing(spark, sf_dir, "lines"), "rating_avg_5", "rating_platform_count").where(F.col("rating").isNotNull() & (F.col("rating_platform_count") >= MIN_PLATFORMS))
     others = F.expr("(rating_avg_5 * rating_platform_count - rating) / (rating_platform_count - 1)")
     return rows.groupBy("platform").agg(n().alias("venues"), r6(F.avg("rating")).alias("raw_mean"), r6(F.avg(F.col("rating") - others)).alias("loo_bias"), r6(F.avg(F.col("rating") - F.col("rating_avg_5"))).alias("consensus_dev"))
 
 
 @query(SQL + f"SELECT {volume_sql('google_review_count')} AS popularity_bin, count(*) AS restaurants, round(avg(rating_range_5), 6) AS mean_range, round(stddev_samp(rating_range_5), 6) AS sd_range, round(stddev_samp(rating_range_5) / sqrt(count(*)), 6) AS sem_range FROM listing WHERE {RATED} AND google_review_count IS NOT NULL GROUP BY 1")
 def q6_popularity_bins(spark, sf_dir):
-    rows = listing(spark, sf_dir).where(rated() & F.col("google_review_count").isNotNull())
+    rows = listing(spark, sf_dir, "lines").where(rated() & F.col("google_review_count").isNotNull())
     return rows.groupBy(volume_bucket(F.col("google_review_count")).alias("popularity_bin")).agg(n().alias("restaurants"), r6(F.avg("rating_range_5")).alias("mean_range"), r6(F.stddev_samp("rating_range_5")).alias("sd_range"), r6(F.stddev_samp("rating_range_5") / F.sqrt(n())).alias("sem_range"))
 
 
@@ -283,7 +283,7 @@ DISTANCE_SQL = "2 * 6371008.8 * atan2(sqrt(least(1, power(sin(radians({a} - {c})
 @query(SQL + f"SELECT CASE WHEN {DISTANCE_SQL.format(a='latitude', b='longitude', c=CENTRE[0], d=CENTRE[1])} <= {CENTRE_KM * 1000} THEN 'center' ELSE 'periphery' END AS zone, {COMPLETE} FROM listing GROUP BY 1")
 def q7_zone(spark, sf_dir):
     zone = F.when(haversine_m(F.col("latitude"), F.col("longitude"), F.lit(CENTRE[0]), F.lit(CENTRE[1])) <= CENTRE_KM * 1000, "center").otherwise("periphery")
-    return listing(spark, sf_dir).groupBy(zone.alias("zone")).agg(*completeness())
+    return listing(spark, sf_dir, "orders").groupBy(zone.alias("zone")).agg(*completeness())
 
 
 @query(SQL + f""", hoods(hood, la, lo, radius) AS (VALUES {', '.join(str(h) for h in NEIGHBOURHOODS)}),
@@ -293,7 +293,7 @@ def q7_neighbourhood(spark, sf_dir):
     """The nearest neighbourhood whose own radius holds the venue: over literals, no join."""
     options = [F.struct(haversine_m(F.col("latitude"), F.col("longitude"), F.lit(la), F.lit(lo)).alias("d"), F.lit(h).alias("hood"), F.lit(r).alias("r")) for h, la, lo, r in NEIGHBOURHOODS]
     nearest = F.array_min(F.filter(F.array(*options), lambda o: o["d"] <= o["r"]))
-    return listing(spark, sf_dir).groupBy(F.coalesce(nearest["hood"], F.lit("other")).alias("neighbourhood")).agg(*completeness())
+    return listing(spark, sf_dir, "orders").groupBy(F.coalesce(nearest["hood"], F.lit("other")).alias("neighbourhood")).agg(*completeness())
 
 
 def labelled() -> Column:
@@ -305,32 +305,32 @@ def labelled() -> Column:
 @query(SQL + "SELECT count(*) AS total, count(*) FILTER (primary_cuisine <> '') AS old_labelled, count(*) FILTER (cuisine_primary NOT IN ('', 'Other')) AS canonical_labelled, round(100.0 * count(*) FILTER (primary_cuisine <> '') / count(*), 6) AS pct_old, round(100.0 * count(*) FILTER (cuisine_primary NOT IN ('', 'Other')) / count(*), 6) AS pct_canonical, count(DISTINCT primary_cuisine) AS old_distinct_labels, count(DISTINCT cuisine_primary) FILTER (cuisine_primary NOT IN ('', 'Other')) AS canonical_buckets FROM listing")
 def q8_coverage(spark, sf_dir):
     old = F.count_if(F.col("primary_cuisine") != "")
-    return listing(spark, sf_dir).agg(n().alias("total"), old.alias("old_labelled"), F.count_if(labelled()).alias("canonical_labelled"), r6(100 * old / n()).alias("pct_old"), r6(100 * F.count_if(labelled()) / n()).alias("pct_canonical"), F.countDistinct("primary_cuisine").alias("old_distinct_labels"), F.countDistinct(F.when(labelled(), F.col("cuisine_primary"))).alias("canonical_buckets"))
+    return listing(spark, sf_dir, "customer").agg(n().alias("total"), old.alias("old_labelled"), F.count_if(labelled()).alias("canonical_labelled"), r6(100 * old / n()).alias("pct_old"), r6(100 * F.count_if(labelled()) / n()).alias("pct_canonical"), F.countDistinct("primary_cuisine").alias("old_distinct_labels"), F.countDistinct(F.when(labelled(), F.col("cuisine_primary"))).alias("canonical_buckets"))
 
 
 @query(SQL + f"""SELECT cuisine_primary AS category, count(*) AS restaurants, round(avg(rating_avg_5), 6) AS mean_rating, count(*) FILTER (rating_platform_count >= 2) AS multi_platform, round(avg(rating_range_5) FILTER ({RATED}), 6) AS mean_range, round(median(rating_range_5) FILTER ({RATED}), 6) AS median_range,
 round(median({TOTAL}), 6) AS median_reviews, round(avg({TOTAL}), 6) AS mean_reviews, round(avg(price_tier), 6) AS mean_price_tier FROM listing WHERE cuisine_primary NOT IN ('', 'Other') GROUP BY 1 HAVING count(*) >= 30 ORDER BY 2 DESC, 1 LIMIT 20""")
 def q8_category(spark, sf_dir):
     ranged = F.when(rated(), F.col("rating_range_5"))
-    out = listing(spark, sf_dir).where(labelled()).groupBy(F.col("cuisine_primary").alias("category")).agg(n().alias("restaurants"), r6(F.avg("rating_avg_5")).alias("mean_rating"), F.count_if(F.col("rating_platform_count") >= 2).alias("multi_platform"), r6(F.avg(ranged)).alias("mean_range"), r6(F.median(ranged)).alias("median_range"), r6(F.median(total_reviews())).alias("median_reviews"), r6(F.avg(total_reviews())).alias("mean_reviews"), r6(F.avg("price_tier")).alias("mean_price_tier"))
+    out = listing(spark, sf_dir, "customer").where(labelled()).groupBy(F.col("cuisine_primary").alias("category")).agg(n().alias("restaurants"), r6(F.avg("rating_avg_5")).alias("mean_rating"), F.count_if(F.col("rating_platform_count") >= 2).alias("multi_platform"), r6(F.avg(ranged)).alias("mean_range"), r6(F.median(ranged)).alias("median_range"), r6(F.median(total_reviews())).alias("median_reviews"), r6(F.avg(total_reviews())).alias("mean_reviews"), r6(F.avg("price_tier")).alias("mean_price_tier"))
     return out.where("restaurants >= 30").orderBy(F.desc("restaurants"), "category").limit(20)
 
 
 @query(SQL + "SELECT cuisine_primary AS category, count(*) FILTER (platform_count >= 2) AS multi_source, round(100.0 * count(*) FILTER (cuisine_agreement = 'agree') / count(*) FILTER (platform_count >= 2), 6) AS pct_agree FROM listing WHERE cuisine_primary NOT IN ('', 'Other') GROUP BY 1 HAVING count(*) FILTER (platform_count >= 2) >= 30 ORDER BY 3 DESC, 1 LIMIT 20")
 def q8_category_agreement(spark, sf_dir):
     multi = F.count_if(F.col("platform_count") >= 2)
-    out = listing(spark, sf_dir).where(labelled()).groupBy(F.col("cuisine_primary").alias("category")).agg(multi.alias("multi_source"), r6(F.try_divide(100 * F.count_if(F.col("cuisine_agreement") == "agree"), multi)).alias("pct_agree"))
+    out = listing(spark, sf_dir, "customer").where(labelled()).groupBy(F.col("cuisine_primary").alias("category")).agg(multi.alias("multi_source"), r6(F.try_divide(100 * F.count_if(F.col("cuisine_agreement") == "agree"), multi)).alias("pct_agree"))
     return out.where("multi_source >= 30").orderBy(F.desc("pct_agree"), "category").limit(20)
 
 
 @query(SQL + "SELECT id, price_tier, round(rating_avg_5, 6) AS rating FROM listing WHERE price_tier IS NOT NULL AND rating_avg_5 IS NOT NULL")
 def q8_price_rows(spark, sf_dir):
-    return listing(spark, sf_dir).where("price_tier is not null and rating_avg_5 is not null").select("id", "price_tier", r6(F.col("rating_avg_5")).alias("rating"))
+    return listing(spark, sf_dir, "orders").where("price_tier is not null and rating_avg_5 is not null").select("id", "price_tier", r6(F.col("rating_avg_5")).alias("rating"))
 
 
 @query(SQL + "SELECT price_tier, count(*) AS restaurants, round(quantile_cont(rating_avg_5, 0.25), 6) AS q25, round(median(rating_avg_5), 6) AS q50, round(quantile_cont(rating_avg_5, 0.75), 6) AS q75 FROM listing WHERE price_tier IS NOT NULL AND rating_avg_5 IS NOT NULL GROUP BY 1")
 def q8_price_quartiles(spark, sf_dir):
-    out = listing(spark, sf_dir).where("price_tier is not null and rating_avg_5 is not null").groupBy("price_tier").agg(n().alias("restaurants"), F.percentile("rating_avg_5", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    out = listing(spark, sf_dir, "orders").where("price_tier is not null and rating_avg_5 is not null").groupBy("price_tier").agg(n().alias("restaurants"), F.percentile("rating_avg_5", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     return out.select("price_tier", "restaurants", *[r6(F.col("q")[k]).alias(c) for k, c in enumerate(("q25", "q50", "q75"))])
 
 
@@ -340,12 +340,12 @@ MIX = [("low", 0.0, 2.0), ("mid", 2.0, 3.0), ("high", 3.0, 99.0)]
 @query(SQL + "SELECT price_tier, count(*) AS restaurants, " + ", ".join(f"round(100 * avg((rating_avg_5 >= {a} AND rating_avg_5 < {b})::INTEGER), 6) AS pct_{k}" for k, a, b in MIX) + " FROM listing WHERE price_tier IS NOT NULL AND rating_avg_5 IS NOT NULL GROUP BY 1")
 def q8_price_bands(spark, sf_dir):
     x = F.col("rating_avg_5")
-    return listing(spark, sf_dir).where("price_tier is not null and rating_avg_5 is not null").groupBy("price_tier").agg(n().alias("restaurants"), *[share((x >= a) & (x < b)).alias(f"pct_{k}") for k, a, b in MIX])
+    return listing(spark, sf_dir, "orders").where("price_tier is not null and rating_avg_5 is not null").groupBy("price_tier").agg(n().alias("restaurants"), *[share((x >= a) & (x < b)).alias(f"pct_{k}") for k, a, b in MIX])
 
 
 @query(SQL + f"SELECT price_tier, count(*) AS restaurants, round(avg(google_rating_5), 6) AS google_rating, round(avg(tripadvisor_rating_5), 6) AS tripadvisor_rating, round(avg(thefork_rating_5), 6) AS thefork_rating, round(avg(rating_avg_5), 6) AS mean_rating, round(avg(rating_range_5) FILTER ({RATED}), 6) AS mean_range FROM listing WHERE price_tier IS NOT NULL GROUP BY 1")
 def q9_price_tier(spark, sf_dir):
-    return listing(spark, sf_dir).where("price_tier is not null").groupBy("price_tier").agg(n().alias("restaurants"), *[r6(F.avg(f"{p}_rating_5")).alias(f"{p}_rating") for p in PLATFORMS], r6(F.avg("rating_avg_5")).alias("mean_rating"), r6(F.avg(F.when(rated(), F.col("rating_range_5")))).alias("mean_range"))
+    return listing(spark, sf_dir, "orders").where("price_tier is not null").groupBy("price_tier").agg(n().alias("restaurants"), *[r6(F.avg(f"{p}_rating_5")).alias(f"{p}_rating") for p in PLATFORMS], r6(F.avg("rating_avg_5")).alias("mean_rating"), r6(F.avg(F.when(rated(), F.col("rating_range_5")))).alias("mean_range"))
 
 
 @query(SQL + "SELECT price_tier, platform, round(avg(rating), 6) AS rating FROM long WHERE price_tier IS NOT NULL GROUP BY 1, 2")
@@ -357,41 +357,41 @@ def q9_melt(spark, sf_dir):
 
 @query(SQL + "SELECT CAST(platform_count AS VARCHAR) AS platform_count, count(*) AS restaurants, round(avg(google_rating_5), 6) AS mean_google_rating, round(median(google_review_count), 6) AS median_google_reviews FROM listing WHERE has_google = 1 GROUP BY 1")
 def q10_by_coverage(spark, sf_dir):
-    return listing(spark, sf_dir).where("has_google = 1").groupBy(F.col("platform_count").cast("string").alias("platform_count")).agg(n().alias("restaurants"), r6(F.avg("google_rating_5")).alias("mean_google_rating"), r6(F.median("google_review_count")).alias("median_google_reviews"))
+    return listing(spark, sf_dir, "lines").where("has_google = 1").groupBy(F.col("platform_count").cast("string").alias("platform_count")).agg(n().alias("restaurants"), r6(F.avg("google_rating_5")).alias("mean_google_rating"), r6(F.median("google_review_count")).alias("median_google_reviews"))
 
 
 @query(SQL + "SELECT other_platform, bucket, count(*) AS restaurants, round(avg(google_rating_5), 6) AS mean_google_rating, round(median(google_review_count), 6) AS median_google_reviews FROM (" + " UNION ALL ".join(f"SELECT '{p}' AS other_platform, CASE WHEN has_{p} = 1 THEN 'also listed' ELSE 'not listed' END AS bucket, google_rating_5, google_review_count FROM listing WHERE has_google = 1" for p in ("tripadvisor", "thefork")) + ") GROUP BY 1, 2")
 def q10_by_presence(spark, sf_dir):
-    rows = listing(spark, sf_dir).where("has_google = 1").select("google_rating_5", "google_review_count", F.explode(F.array(*[F.struct(F.lit(p).alias("other_platform"), F.when(F.col(f"has_{p}") == 1, "also listed").otherwise("not listed").alias("bucket")) for p in ("tripadvisor", "thefork")])).alias("x"))
+    rows = listing(spark, sf_dir, "lines").where("has_google = 1").select("google_rating_5", "google_review_count", F.explode(F.array(*[F.struct(F.lit(p).alias("other_platform"), F.when(F.col(f"has_{p}") == 1, "also listed").otherwise("not listed").alias("bucket")) for p in ("tripadvisor", "thefork")])).alias("x"))
     return rows.groupBy("x.other_platform", "x.bucket").agg(n().alias("restaurants"), r6(F.avg("google_rating_5")).alias("mean_google_rating"), r6(F.median("google_review_count")).alias("median_google_reviews"))
 
 
 @query(SQL + f"SELECT platform, count(photos) AS venues, round({SQL_CORR.format(x='photos', y='reviews')}, 6) AS corr_photos_reviews, round({SQL_CORR.format(x='photos', y='rating')}, 6) AS corr_photos_rating FROM long GROUP BY 1")
 def q11_correlations(spark, sf_dir):
-    return long_form(listing(spark, sf_dir)).groupBy("platform").agg(F.count("photos").alias("venues"), r6(guarded_corr(F.col("photos"), F.col("reviews"))).alias("corr_photos_reviews"), r6(guarded_corr(F.col("photos"), F.col("rating"))).alias("corr_photos_rating"))
+    return long_form(listing(spark, sf_dir, "lines")).groupBy("platform").agg(F.count("photos").alias("venues"), r6(guarded_corr(F.col("photos"), F.col("reviews"))).alias("corr_photos_reviews"), r6(guarded_corr(F.col("photos"), F.col("rating"))).alias("corr_photos_rating"))
 
 
 @query(SQL + "SELECT id, thefork_photo_count AS photos, thefork_review_count AS reviews, thefork_rating_5 AS rating FROM listing WHERE thefork_photo_count > 0 AND thefork_review_count > 0")
 def q11_rows(spark, sf_dir, platform: str = "thefork"):
-    return listing(spark, sf_dir).where(f"{platform}_photo_count > 0 and {platform}_review_count > 0").select("id", F.col(f"{platform}_photo_count").alias("photos"), F.col(f"{platform}_review_count").alias("reviews"), F.col(f"{platform}_rating_5").alias("rating"))
+    return listing(spark, sf_dir, "lines").where(f"{platform}_photo_count > 0 and {platform}_review_count > 0").select("id", F.col(f"{platform}_photo_count").alias("photos"), F.col(f"{platform}_review_count").alias("reviews"), F.col(f"{platform}_rating_5").alias("rating"))
 
 
 @query(SQL + "SELECT id, name, google_rating_5, tripadvisor_rating_5, thefork_rating_5, round(rating_range_5, 6) AS rating_range_5 FROM listing WHERE rating_range_5 > 1")
 def m_diff_gt_1(spark, sf_dir):
-    return listing(spark, sf_dir).where("rating_range_5 > 1").select("id", "name", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id")
+    return listing(spark, sf_dir, "lines").where("rating_range_5 > 1").select("id", "name", *[f"{p}_rating_5" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id")
 
 
 @query(SQL + "SELECT postal_code, count(*) AS restaurants, round(avg(google_rating_5), 6) AS google_rating, round(avg(tripadvisor_rating_5), 6) AS tripadvisor_rating, round(avg(thefork_rating_5), 6) AS thefork_rating FROM listing WHERE postal_code <> '' GROUP BY 1")
 def m_avg_by_area(spark, sf_dir):
-    return listing(spark, sf_dir).where("postal_code <> ''").groupBy("postal_code").agg(n().alias("restaurants"), *[r6(F.avg(f"{p}_rating_5")).alias(f"{p}_rating") for p in PLATFORMS]).orderBy("postal_code")
+    return listing(spark, sf_dir, "customer").where("postal_code <> ''").groupBy("postal_code").agg(n().alias("restaurants"), *[r6(F.avg(f"{p}_rating_5")).alias(f"{p}_rating") for p in PLATFORMS]).orderBy("postal_code")
 
 
 @query(SQL + f"SELECT id, google_review_count, tripadvisor_review_count, thefork_review_count, round(rating_range_5, 6) AS rating_range_5 FROM listing WHERE {RATED}")
 def m_variance_rows(spark, sf_dir):
-    return listing(spark, sf_dir).where(rated()).select("id", *[f"{p}_review_count" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id")
+    return listing(spark, sf_dir, "lines").where(rated()).select("id", *[f"{p}_review_count" for p in PLATFORMS], r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id")
 
 
 @query(SQL + "SELECT listing.id, name, o_orderstatus AS status, o_totalprice AS price, round(rating_range_5, 6) AS rating_range_5 FROM listing LEFT JOIN orders ON o_orderkey = listing.id AND o_orderstatus = 'F' WHERE rating_range_5 > 1 ORDER BY 5 DESC, 1 LIMIT 20")
 def m_left_join_drilldown(spark, sf_dir):
     detail = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
-    return listing(spark, sf_dir).where("rating_range_5 > 1").join(detail, "id", "left").select("id", "name", "status", "price", r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id").limit(20)
+    return listing(spark, sf_dir, "lines").where("rating_range_5 > 1").join(detail, "id", "left").select("id", "name", "status", "price", r6(F.col("rating_range_5")).alias("rating_range_5")).orderBy(F.desc("rating_range_5"), "id").limit(20)

@@ -22,8 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pass over the lines, grouped by their order; orders join on the same key, all else is a small dimension."""
+#: How far a question looks beyond the lines; each step adds a join and columns.
+LEVELS = ("lines", "orders", "customer", "nation", "region")
+
+
+def listing(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """One pass over the lines, grouped by their order; up to `level`, orders join on the same key, all else is a small dimension.
+
+    Only a column that a level brings asks for its join: names and ratings come
+    from the lines alone, prices and coordinates from orders, postal codes and
+    merged labels from customer, streets from nation, cities from region.
+    """
     lines = table(spark, sf_dir, "lineitem")
     aggregates = []
     for p, flag in PLATFORMS.items():
@@ -48,36 +57,32 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_divide(total, count).alias("rating_avg_5"),
         (F.greatest(*ratings) - F.least(*ratings)).alias("rating_range_5"),
     )
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", "o_totalprice", "o_orderpriority")
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("c_nationkey"), "n_regionkey", F.col("n_name").alias("street"))
-    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("city"))
-    places = customers.join(nations, "c_nationkey").join(regions, "n_regionkey")
+    far = LEVELS.index(level)
+    own = [
+        "id", F.concat(F.lit("venue "), F.col("id").cast("string")).alias("name"), *[f"has_{p}" for p in PLATFORMS], *[f"{p}_{c}" for p in PLATFORMS for c in ("rating_5", "review_count", "photo_count")],
+        "platform_count", "rating_platform_count", "rating_avg_5", "rating_range_5",
+        F.when(F.col("platform_count") < 2, "single").when(F.col("id") % 5 < 3, "agree").otherwise("disagree").alias("cuisine_agreement"),
+        F.when(F.col("id") % 4 == 0, "").otherwise(F.concat(F.lit("site"), F.col("id").cast("string"), F.lit(".example"))).alias("website"),
+    ]
+    if far == 0:
+        return per.select(*own)
     price = F.col("o_totalprice")
-    return (
-        per.join(orders, "id")
-        .join(places, "o_custkey")
-        .select(
-            "id",
-            F.concat(F.lit("venue "), F.col("id").cast("string")).alias("name"),
-            "street",
-            "city",
-            F.col("c_nationkey").cast("string").alias("postal_code"),
-            (F.lit(45.35) + F.pmod(F.col("o_custkey") * 7919, F.lit(2300)) / 10000).alias("latitude"),
-            (F.lit(9.0) + F.pmod(F.col("o_custkey") * 104729, F.lit(3500)) / 10000).alias("longitude"),
-            *[f"has_{p}" for p in PLATFORMS],
-            *[f"{p}_{c}" for p in PLATFORMS for c in ("rating_5", "review_count", "photo_count")],
-            "platform_count",
-            "rating_platform_count",
-            "rating_avg_5",
-            "rating_range_5",
-            F.when(price < 50000, 1).when(price < 120000, 2).when(price < 220000, 3).when(price < 400000, 4).alias("price_tier"),
-            F.when(F.col("id") % 3 == 0, "").otherwise(F.col("o_orderpriority")).alias("primary_cuisine"),
-            F.when(F.col("id") % 17 == 0, "Other").when(F.col("id") % 19 == 0, "").otherwise(F.col("c_mktsegment")).alias("cuisine_primary"),
-            F.when(F.col("platform_count") < 2, "single").when(F.col("id") % 5 < 3, "agree").otherwise("disagree").alias("cuisine_agreement"),
-            F.when(F.col("id") % 4 == 0, "").otherwise(F.concat(F.lit("site"), F.col("id").cast("string"), F.lit(".example"))).alias("website"),
-        )
-    )
+    of_order = [
+        (F.lit(45.35) + F.pmod(F.col("o_custkey") * 7919, F.lit(2300)) / 10000).alias("latitude"), (F.lit(9.0) + F.pmod(F.col("o_custkey") * 104729, F.lit(3500)) / 10000).alias("longitude"),
+        F.when(price < 50000, 1).when(price < 120000, 2).when(price < 220000, 3).when(price < 400000, 4).alias("price_tier"),
+        F.when(F.col("id") % 3 == 0, "").otherwise(F.col("o_orderpriority")).alias("primary_cuisine"),
+    ]
+    venues = per.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", "o_totalprice", "o_orderpriority"), "id")
+    if far == 1:
+        return venues.select(*own, *of_order)
+    places = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    of_place = [F.col("c_nationkey").cast("string").alias("postal_code"), F.when(F.col("id") % 17 == 0, "Other").when(F.col("id") % 19 == 0, "").otherwise(F.col("c_mktsegment")).alias("cuisine_primary")]
+    if far >= 3:
+        nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("c_nationkey"), "n_regionkey", F.col("n_name").alias("street"))
+        places, of_place = places.join(nations, "c_nationkey"), [*of_place, "street"]
+    if far == 4:
+        places, of_place = places.join(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("city")), "n_regionkey"), [*of_place, "city"]
+    return venues.join(places, "o_custkey").select(*own, *of_order, *of_place)
 
 
 def long_form(venues: DataFrame, *columns: str) -> DataFrame:

@@ -320,12 +320,12 @@ def int_cuisine_merge(spark, sf_dir):
 
 @query(SQL + "SELECT id, rating_platform_count, round(rating_avg_5, 3) AS rating_avg_5, round(rating_range_5, 3) AS rating_range_5 FROM listing")
 def int_rating_metrics(spark, sf_dir):
-    return listing(spark, sf_dir).select("id", "rating_platform_count", F.round("rating_avg_5", 3).alias("rating_avg_5"), F.round("rating_range_5", 3).alias("rating_range_5"))
+    return listing(spark, sf_dir, "lines").select("id", "rating_platform_count", F.round("rating_avg_5", 3).alias("rating_avg_5"), F.round("rating_range_5", 3).alias("rating_range_5"))
 
 
 @query(SQL + "SELECT id, name, coalesce(primary_cuisine, '') AS primary_cuisine, CAST(website <> '' AS INTEGER) AS has_website, has_google, has_tripadvisor, has_thefork, coalesce(CAST(price_tier AS VARCHAR), '') AS price_level, coalesce(google_review_count, 0) AS google_review_count FROM listing")
 def flat_projection(spark, sf_dir):
-    return listing(spark, sf_dir).select("id", "name", arrays.text_or_empty(F.col("primary_cuisine")).alias("primary_cuisine"), arrays.present(F.col("website")).alias("has_website"), *[f"has_{p}" for p in PLATFORMS], arrays.text_or_empty(F.col("price_tier")).alias("price_level"), F.coalesce("google_review_count", F.lit(0)).alias("google_review_count"))
+    return listing(spark, sf_dir, "orders").select("id", "name", arrays.text_or_empty(F.col("primary_cuisine")).alias("primary_cuisine"), arrays.present(F.col("website")).alias("has_website"), *[f"has_{p}" for p in PLATFORMS], arrays.text_or_empty(F.col("price_tier")).alias("price_level"), F.coalesce("google_review_count", F.lit(0)).alias("google_review_count"))
 
 
 # quality and assessment
@@ -339,7 +339,7 @@ def pct(a: str, b: str) -> str:
 
 @query(SQL + "SELECT field, present, records, " + pct("present", "records") + " AS coverage_pct FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER ({f} IS NOT NULL AND CAST({f} AS VARCHAR) <> '') AS present, count(*) AS records FROM listing" for f in FIELDS) + ")")
 def dq_field_coverage(spark, sf_dir):
-    return profile.field_coverage(listing(spark, sf_dir), FIELDS)
+    return profile.field_coverage(listing(spark, sf_dir, "orders"), FIELDS)
 
 
 @query(r"""WITH r AS (SELECT page_id, url, regexp_extract(html, '[A-Za-z0-9._]+@[A-Za-z0-9.]+') AS mail, CAST(page_id % 7 - 1 AS VARCHAR) AS rating FROM pages)
@@ -359,7 +359,7 @@ UNION ALL SELECT id, 'invalid_rating', 'rating_range_5', '' FROM listing WHERE r
 def dq_anomalies(spark, sf_dir):
     reviews = F.col("google_review_count")
     rules = [("missing_critical_field", "website", F.col("website") == ""), ("low_review_count", "google_review_count", (reviews > 0) & (reviews < 20)), ("invalid_rating", "rating_range_5", F.col("rating_range_5").isNull())]
-    return profile.anomalies(listing(spark, sf_dir), "id", rules)
+    return profile.anomalies(listing(spark, sf_dir, "lines"), "id", rules)
 
 
 @query("SELECT p_name, p_brand, count(*) AS n, count(*) - 1 AS excess FROM part GROUP BY 1, 2 HAVING count(*) > 1")
