@@ -337,8 +337,8 @@ def test_tuning_reaches_its_recall():
         assert 1 - (1 - t**rows) ** bands >= 0.95
 
 
-@pytest.mark.parametrize("recall", [0.95, 0.01])
-def test_classes_equal_brute_force(spark, recall):
+@pytest.mark.parametrize("recall,block", [(0.95, 512), (0.01, 3)])
+def test_classes_equal_brute_force(spark, recall, block):
     """Classes are the components of the near links, whatever the ensemble misses; one row of each class stays, with its own text."""
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
@@ -370,9 +370,11 @@ def test_classes_equal_brute_force(spark, recall):
     for t in sets:
         classes.setdefault(root(t), set()).add(t)
     whole = [c for c in classes.values() if not c <= up.keys()]
-    got = minhash.near_duplicates(df, recall=recall).collect()
+    got = minhash.near_duplicates(df, recall=recall, block=block).collect()
     assert len(got) == len(rows) and sum(r.kept for r in got) == len(whole)
-    kept = minhash.keep_one(df, recall=recall).collect()
+    links = Counter(x for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])) >= 0.65 for x in (a, b))
+    assert sorted(r.n_links for r in got) == sorted(links[t] for t in names)
+    kept = minhash.keep_one(df, recall=recall, block=block).collect()
     of = {k: t for k, t in enumerate(names)}
     assert sorted(min(c) for c in whole) == sorted(min(next(c for c in whole if of[r.k] in c)) for r in kept)
     assert all(of[r.k] not in up and (r.doc_id, r.text) == rows[r.k] for r in kept)
