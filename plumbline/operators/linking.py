@@ -54,3 +54,8 @@ def competitors(pairs: DataFrame) -> DataFrame:
     a, s = Window.partitionBy("a_id"), Window.partitionBy("s_id")
     n = pairs.withColumn("n_same_a", F.count(F.lit(1)).over(a) - 1).withColumn("n_same_s", F.count(F.lit(1)).over(s) - 1)
     return n.withColumn("conflict_flags", F.array_compact(F.array(F.when(F.col("overridden"), "llm_override"), F.when(F.col("n_same_a") > 0, "multiple_source_matches"), F.when(F.col("n_same_s") > 0, "source_record_matched_multiple"))))
+
+
+def with_others(selected: DataFrame, existing: DataFrame, sources: list[str]) -> DataFrame:
+    """The links selected for some sources, and those that exist for all others."""
+    return selected.unionByName(existing.where(~F.col("source").isin(*sources)).select(*selected.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,3 +127,64 @@ def apply_decisions(pairs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def effective_label(llm: Column, own: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(llm), F.lit("")), own)
+
+
+def match_confidence(llm_label: Column, llm_confidence: Column, own: Column) -> Column:
+    """The confidence of the label that counts: of an adjudication where there is one, else the score."""
+    judged = (F.trim(F.coalesce(llm_label, F.lit(""))) != "") & llm_confidence.isNotNull()
+    return F.when(judged, llm_confidence.cast("double")).otherwise(own)
+
+
+def open_groups(pairs: DataFrame) -> DataFrame:
+    """Pairs of those groups of which no pair has been adjudicated yet."""
+    done = pairs.where(F.trim(F.coalesce("llm_label", F.lit(""))) != "").select("source", "s_id").distinct()
+    return pairs.join(done, ["source", "s_id"], "left_anti")
+
+
+DECIDED = "source string, s_id long, a_id long, decision string, confidence double, risk_flag string"
+
+
+def rule_client(group: dict) -> dict:
+    """A stand-in for a language model: the rules of `decide`, over one group's candidates, the best first."""
+    best, *rest = group["candidates"]
+    far = lambda c: 1e6 if c["geo_dist_m"] is None else c["geo_dist_m"]
+    some = lambda x: 0.0 if x is None else x
+    name, near = some(best["name_sim"]), far(best)
+    if rest and some(rest[0]["name_sim"]) >= 0.75 and far(rest[0]) <= 100 and name >= 0.75:
+        return {"a_id": best["a_id"], "decision": UNCERTAIN, "confidence": 0.62, "risk_flag": "multiple_plausible_candidates"}
+    if (best["phone_match"] == 1 or best["website_match"] == 1) and near <= 1000:
+        return {"a_id": best["a_id"], "decision": MATCH, "confidence": 0.92, "risk_flag": None}
+    if near <= 50 and (name >= 0.75 or some(best["street_sim"]) >= 0.80):
+        return {"a_id": best["a_id"], "decision": MATCH, "confidence": 0.90, "risk_flag": None}
+    if near > 300:
+        return {"a_id": best["a_id"], "decision": NON_MATCH, "confidence": 0.82, "risk_flag": "large_distance"}
+    return {"a_id": best["a_id"], "decision": UNCERTAIN, "confidence": 0.60, "risk_flag": "insufficient_evidence"}
+
+
+def adjudicated(ranked: DataFrame, client: Callable[[dict], dict] = rule_client, retries: int = 2) -> DataFrame:
+    """A decision for each group by a client that is called with it, in Arrow batches; a group holds at most top_candidates' k rows.
+
+    A client that fails `retries` times more leaves its group uncertain, with
+    the error as risk flag, instead of failing the job.
+    """
+    fields = ("a_id", "geo_dist_m", "name_sim", "street_sim", "phone_match", "website_match")
+    groups = ranked.groupBy("source", "s_id").agg(F.sort_array(F.collect_list(F.struct("rank_no", *fields))).alias("candidates"))
+
+    def ask(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for group in batch.to_pylist():
+                for attempt in range(retries + 1):
+                    try:
+                        said = client(group)
+                        break
+                    except Exception as e:  # noqa: BLE001
+                        said = {"a_id": None, "decision": UNCERTAIN, "confidence": 0.0, "risk_flag": f"client_error: {type(e).__name__}"}
+                out.append((group["source"], group["s_id"], said["a_id"], said["decision"], float(said["confidence"]), said["risk_flag"]))
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.string()]
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["source", "s_id", "a_id", "decision", "confidence", "risk_flag"])
+
+    return groups.mapInArrow(ask, DECIDED)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions import arrays, geo, numbers, pages, similarity, text
-from plumbline.operators import blocking, linking, maintenance, scoring
+from plumbline.operators import blocking, cleaning, linking, maintenance, scoring
 from plumbline.plans.analytics import DISTANCE_SQL
 from plumbline.plans.listing import PLATFORMS, SQL, listing, table
 from plumbline.quality import assess, profile
@@ -59,10 +59,17 @@ def fn_url_host(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.host(F.col("url")).alias("host"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_type LIKE 'ECONOMY%' THEN 'restaurant' WHEN p_type LIKE 'PROMO%' OR p_type LIKE 'SMALL%' THEN 'cafe_bar_bakery' WHEN p_type LIKE '%STEEL' THEN 'non_dining' ELSE 'unknown' END AS tier FROM part")
+#: primary types and other types that parts stand for, by their size
+KINDS = ["pizza_restaurant", "cafe", "hotel", "", "meal_takeaway", "museum"]
+
+
+@query(f"""WITH k AS (SELECT p_partkey, list_extract({KINDS}, 1 + p_size % 6) AS a, list_extract({KINDS}, 1 + CAST(p_partkey % 6 AS INTEGER)) AS b FROM part),
+t AS (SELECT *, CASE WHEN a IN ('pizza_restaurant', 'meal_takeaway') THEN 'restaurant' WHEN a = 'cafe' THEN 'cafe_bar_bakery' WHEN a IN ('hotel', 'museum') THEN 'non_dining' END AS ta, CASE WHEN b IN ('pizza_restaurant', 'meal_takeaway') THEN 'restaurant' WHEN b = 'cafe' THEN 'cafe_bar_bakery' WHEN b IN ('hotel', 'museum') THEN 'non_dining' END AS tb FROM k)
+SELECT p_partkey, coalesce(ta, tb, 'unknown') AS tier FROM t""")
 def fn_category_tier(spark, sf_dir):
-    kind = F.col("p_type")
-    return part(spark, sf_dir).select("p_partkey", F.when(kind.startswith("ECONOMY"), "restaurant").when(kind.startswith("PROMO") | kind.startswith("SMALL"), "cafe_bar_bakery").when(kind.endswith("STEEL"), "non_dining").otherwise("unknown").alias("tier"))
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    pick = lambda c: F.element_at(kinds, (c % 6 + 1).cast("int"))
+    return part(spark, sf_dir).select("p_partkey", cleaning.category_tier(pick(F.col("p_size")), F.array(pick(F.col("p_partkey")))).alias("tier"))
 
 
 @query("SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size < 10 THEN 'small' END, CASE WHEN p_retailprice > 1500 THEN 'dear' END, CASE WHEN p_size % 2 = 0 THEN 'even' END], lambda x: x IS NOT NULL), ',') AS flags FROM part")
@@ -393,13 +400,13 @@ def as_confusion(spark, sf_dir):
     return assess.confusion(gold(spark, sf_dir), "lang")
 
 
-GRID = f"""WITH g AS ({GOLD}), c AS (SELECT CAST(floor(score * 20) AS INTEGER) AS s, count(*) FILTER (truth) AS p, count(*) FILTER (NOT truth) AS q FROM g GROUP BY 1), t AS (SELECT CAST(a.i AS INTEGER) AS lo, CAST(b.i AS INTEGER) AS hi FROM range(21) a(i), range(21) b(i) WHERE a.i < b.i)
-SELECT lo, hi, CAST(coalesce(sum(p) FILTER (s >= hi), 0) AS BIGINT) AS tp, CAST(coalesce(sum(q) FILTER (s >= hi), 0) AS BIGINT) AS fp, CAST(coalesce(sum(p) FILTER (s <= lo), 0) AS BIGINT) AS fn, CAST(coalesce(sum(p + q) FILTER (s > lo AND s < hi), 0) AS BIGINT) AS uncertain FROM c, t GROUP BY 1, 2"""
+GRID = f"""WITH g AS ({GOLD}), t AS (SELECT CAST(a.i AS INTEGER) AS lo, CAST(b.i AS INTEGER) AS hi FROM range(21) a(i), range(21) b(i) WHERE a.i < b.i)
+SELECT lo, hi, count(*) FILTER (truth AND floor(round(score * 20, 9)) >= hi) AS tp, count(*) FILTER (NOT truth AND floor(round(score * 20, 9)) >= hi) AS fp, count(*) FILTER (truth AND ceil(round(score * 20, 9)) <= lo) AS fn, count(*) FILTER (floor(round(score * 20, 9)) < hi AND ceil(round(score * 20, 9)) > lo) AS uncertain FROM g, t GROUP BY 1, 2"""
 
 
 @query(GRID)
 def as_threshold_grid(spark, sf_dir):
-    return assess.threshold_grid(gold(spark, sf_dir), 20)
+    return assess.threshold_grid(gold(spark, sf_dir), 20).select("lo", "hi", "tp", "fp", "fn", "uncertain")
 
 
 @query(f"WITH g AS ({GOLD}), f AS (SELECT doc_id % 5 AS fold, count(*) FILTER (truth AND label = 'MATCH') / nullif(count(*) FILTER (label = 'MATCH'), 0) AS p FROM g GROUP BY 1) SELECT count(*) AS folds, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS sd FROM f")

@@ -103,3 +103,40 @@ def readiness(score: Column) -> Column:
 
 def top_issues(found: DataFrame, k: int = 4) -> DataFrame:
     return found.groupBy("issue_type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "issue_type").limit(k)
+
+
+def invalid_json(records: DataFrame, corrupt: str, key: str, source: str) -> DataFrame:
+    """Anomalies of lines that can't be parsed, beside those of anomalies(); they mostly have no key, so the source stands in."""
+    return records.where(F.col(corrupt).isNotNull()).select(F.coalesce(F.col(key).cast("string"), F.lit(source)).alias("record_id"), F.lit("invalid_json").alias("issue_type"), F.lit(corrupt).alias("field"), F.substring(corrupt, 1, 200).alias("value"))
+
+
+def flag_rates(counts: DataFrame, by: str) -> DataFrame:
+    """(by, flags, records, flags_per_100) from (by, flags, records)."""
+    return counts.withColumn("flags_per_100", F.round(100 * F.coalesce(F.try_divide("flags", "records"), F.lit(0.0)), 2))
+
+
+def extremes(scores: DataFrame, name: str, measures: dict[str, str]) -> DataFrame:
+    """(measure, best, best_value, worst, worst_value); measures: column -> "high" or "low" is best; ties by name."""
+    one = scores.agg(*[f(F.struct(F.col(m).alias("v"), (F.col(name)).alias("n"))).alias(f"{m}_{k}") for m in measures for k, f in (("most", F.max), ("least", F.min))])
+    rows = []
+    for m, good in measures.items():
+        best, worst = (f"{m}_most", f"{m}_least") if good == "high" else (f"{m}_least", f"{m}_most")
+        rows.append(F.struct(F.lit(m).alias("measure"), F.col(f"{best}.n").alias("best"), F.col(f"{best}.v").cast("double").alias("best_value"), F.col(f"{worst}.n").alias("worst"), F.col(f"{worst}.v").cast("double").alias("worst_value")))
+    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+#: (priority, condition on a source's summary, what to do)
+ACTIONS = [
+    (1, "spatial_readiness < 95", "geocode addresses before spatial joins"),
+    (2, "timeliness < 95", "shorten the collection or refresh in steps"),
+    (3, "reliability < 80", "weigh ratings by their number of reviews"),
+    (4, "duplicates > 0", "look at names and addresses that repeat before integrating"),
+]
+
+
+def actions(summary: DataFrame, source: str) -> DataFrame:
+    """(priority, source, action) that a summary calls for, the most urgent first; one row if none is."""
+    found = F.array_compact(F.array(*[F.when(F.expr(condition), F.struct(F.lit(p).alias("priority"), F.lit(todo).alias("action"))) for p, condition, todo in ACTIONS]))
+    rows = summary.select(F.explode(found).alias("x"), F.col(source).alias("source")).select("x.priority", "source", "x.action")
+    none = summary.agg(F.max(F.size(found)).alias("most")).where("coalesce(most, 0) = 0").select(F.lit(1).alias("priority"), F.lit("all").alias("source"), F.lit("keep the present checks and run them after each update").alias("action"))
+    return rows.unionByName(none).orderBy("priority", "source")

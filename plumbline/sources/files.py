@@ -64,6 +64,37 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("overwrite").json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> int:
+    """One JSON array in one file on the driver's machine, for consumers that want just that: rows pass through one partition after the other, never all at once. Returns their number."""
+    columns = sorted(df.columns)
+    n = 0
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("[")
+        for row in df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
+            out.write((",\n" if n else "\n") + row.j)
+            n += 1
+        out.write("\n]\n")
+    return n
+
+
+def mark_done(keys: DataFrame, key: str, path: str) -> None:
+    """Adds keys to the set of those that are done, from which work goes on after a break."""
+    keys.select(F.col(key).cast("string").alias(key)).distinct().write.mode("append").parquet(path)
+
+
+def remaining(spark: SparkSession, work: DataFrame, key: str, path: str) -> DataFrame:
+    """What of the work isn't in the set of done keys; all of it where there is no set yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        done = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return work
+    return work.join(done.select(F.col(key).alias("_done")).distinct(), F.col(key).cast("string") == F.col("_done"), "left_anti")
+
+
 def write_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 

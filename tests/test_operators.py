@@ -180,3 +180,149 @@ def test_sliding_alarm_equals_brute_force(spark):
     for k, _, s in rows:
         n = len({u for _, u, t in rows if s - 60 <= t <= s})
         assert got[k] == (n, n >= 3)
+
+
+def test_json_array_and_done_sets(spark, tmp_path):
+    df = spark.createDataFrame([("b", 1), ("a", None)], "k string, v long").repartition(2)
+    assert files.write_json_array(df, str(tmp_path / "a.json")) == 2
+    assert sorted(json.loads((tmp_path / "a.json").read_text()), key=lambda x: x["k"]) == [{"k": "a", "v": None}, {"k": "b", "v": 1}]
+    files.write_json_array(df.where("false"), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    done = str(tmp_path / "done")
+    assert files.remaining(spark, df, "k", done).count() == 2
+    files.mark_done(df.where("v = 1"), "k", done)
+    files.mark_done(df.where("v = 1"), "k", done)
+    assert [r.k for r in files.remaining(spark, df, "k", done).collect()] == ["a"]
+
+
+def test_invalid_json_is_an_anomaly(spark, tmp_path):
+    from pyspark.sql.types import LongType, StructType
+
+    (tmp_path / "r.jsonl").write_text('{"v": 2}\nbroken\n')
+    found = profile.invalid_json(files.read_json(spark, str(tmp_path / "r.jsonl"), StructType().add("v", LongType())), files.CORRUPT, "v", "google")
+    assert [tuple(r) for r in found.collect()] == [("google", "invalid_json", "_corrupt", "broken")]
+
+
+def test_a_client_that_fails_leaves_its_group_open(spark):
+    rows = [("tripadvisor", s, a, k, 10.0, 0.9, 0.1, 1.0, 0.0) for s in (1, 2) for k, a in enumerate((7, 8), 1)]
+    ranked = spark.createDataFrame(rows, "source string, s_id long, a_id long, rank_no int, geo_dist_m double, name_sim double, street_sim double, phone_match double, website_match double")
+
+    def client(group):
+        if group["s_id"] == 2:
+            raise TimeoutError
+        return {"a_id": group["candidates"][1]["a_id"], "decision": "MATCH", "confidence": 1, "risk_flag": None}
+
+    got = {r.s_id: tuple(r)[2:] for r in scoring.adjudicated(ranked, client).collect()}
+    assert got == {1: (8, "MATCH", 1.0, None), 2: (None, "UNCERTAIN", 0.0, "client_error: TimeoutError")}
+    assert {r.decision for r in scoring.adjudicated(ranked).collect()} == {"UNCERTAIN"} and scoring.adjudicated(ranked.where("false")).count() == 0
+
+
+def test_stores_and_merges(spark):
+    v = spark.createDataFrame([("a", 1, "x", 10, None), ("a", 3, "y", 20, "d"), ("a", 5, "z", None, None), (" ", 1, "x", 1, "d")], "k string, seq long, status string, seeded long, details string")
+    assert [tuple(r) for r in maintenance.keyed_store(v.where("seq < 3"), v.where("seq >= 3"), "k", "seq", ["seeded"], ["details"]).collect()] == [("a", 5, "z", 10, "d")]
+    key = lambda *x: spark.range(1).select(maintenance.merge_key(*[F.lit(y).cast("string") for y in x]).alias("k")).first().k
+    assert [key(" u ", "1", "N", "A"), key(" ", "1", "N", "A"), key(None, "", "N", "A")] == ["url:u", "id:1", "na:n|a"]
+    shards = spark.createDataFrame([("a", "1", 1, True, 1), ("a", "2", 2, True, 5), ("a", "2", 3, False, 9), ("b", "1", 4, False, 0), ("b", "2", 5, False, 0)], "key string, shard string, seq long, detail boolean, rich int")
+    merged = maintenance.merged_shards(shards, "key", "shard", "seq", F.col("detail"), F.col("rich"))
+    assert {r.key: (r.shard, r.seq, r.n_versions, r.n_shards) for r in merged.collect()} == {"a": ("2", 2, 3, 2), "b": ("1", 4, 2, 2)}
+    state = maintenance.crawl_state(*[spark.createDataFrame([(k,) for k in ks], "k string") for ks in ("abcd", "a", "ab", "cx")], "k")
+    assert {r.k: (r.state, r.in_master, r.redo) for r in state.collect()} == {"a": ("processed", True, False), "b": ("failed", True, True), "c": ("processed", True, False), "d": ("redo", True, True), "x": ("processed", False, False)}
+
+
+def test_thresholds_by_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(g, rng.random() < 0.5 if g == "a" else True, round(min(1.0, max(0.0, rng.gauss(0.5, 0.3))), 2)) for g in "ab" for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, truth boolean, score double")
+
+    def rates(part, lo, hi):
+        tp, fp = (sum(s >= hi and t == x for _, t, s in part) for x in (True, False))
+        fn, positive = sum(s <= lo and t for _, t, s in part), sum(t for _, t, _ in part)
+        p, r, u = tp / (tp + fp) if tp + fp else None, (positive - fn) / positive if positive else None, sum(lo < s < hi for _, _, s in part) / len(part)
+        return p, r, u, fn, p is not None and r is not None and p >= 0.9 and r >= 0.97
+
+    best = {r.g: r for r in assess.recommended(assess.threshold_grid(df, 100, ["g"]), ["g"]).collect()}
+    said = {(r.g, r.rank_no): (r.lo, r.hi) for r in assess.suggestions(df, ["g"]).collect()}
+    summed = {r.g: tuple(r)[1:] for r in assess.score_summary(df, ["g"]).collect()}
+    for g in "ab":
+        part = [r for r in rows if r[0] == g]
+        grid = [(lo / 100, hi / 100) for lo in range(101) for hi in range(lo + 1, 101)]
+        found = [(x, rates(part, *x)) for x in grid]
+        order = lambda m: (0 if m[1][4] and m[1][2] <= 0.1 else 1 if m[1][4] else 2, m[1][3], -(m[1][0] or 0), m[1][2], -(m[1][1] or 0))
+        top = min(found, key=order)
+        assert (best[g].lo / 100, best[g].hi / 100) == top[0] and best[g].fn == top[1][3]
+        marks = sorted({0.0, 0.4, 0.85, 1.0, *(s for _, _, s in part)})
+        pairs = [((lo, hi), rates(part, lo, hi)) for lo in marks for hi in marks if lo < hi]
+        ranked = sorted(pairs, key=lambda m: (not m[1][4], m[1][2], -(m[1][0] or 0), -(m[1][1] or 0), *m[0]))[:5]
+        assert [said[g, k] for k in range(1, 6)] == [x for x, _ in ranked]
+        ordered = sorted(s for _, _, s in part)
+        assert summed[g] == (40, ordered[0], *(ordered[round(39 * q)] for q in (0.25, 0.5, 0.75)), ordered[-1])
+
+
+def test_mann_whitney_by_brute_force(spark):
+    rng = random.Random(3)
+    rows = [("g", rng.random() < 0.4, rng.randrange(8) / 2) for _ in range(60)]
+    got = assess.mann_whitney(spark.createDataFrame(rows, "g string, one boolean, v double"), ["g"], "one", "v").first()
+    a, b = [v for _, o, v in rows if o], [v for _, o, v in rows if not o]
+    u = sum((x > y) + 0.5 * (x == y) for x in a for y in b)
+    assert got.u == u and abs(got.effect - (2 * u / len(a) / len(b) - 1)) < 1e-12
+
+
+def test_deferrals_of_a_stream_equal_the_batch(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(f"k{rng.randrange(5)}", c, rng.random() < 0.3) for c in range(60)]
+    schema = "k string, cycle long, ok boolean"
+    batch = {r.k: tuple(r)[1:] for r in flows.deferrals(spark.createDataFrame(rows, schema), "k", "cycle", "ok", 3, 10).collect()}
+    state: dict = {}
+    for k, c, ok in rows:
+        state[k] = (0, None) if ok else (state.get(k, (0, None))[0] + 1, c)
+    assert batch == {k: (n, c, c + 10 if n >= 3 else None) for k, (n, c) in state.items() if n}
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "ck")
+    seen: dict = {}
+    for some in (rows[:30], rows[30:]):
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(source)
+        found = flows.deferrals_stream(spark.readStream.schema(schema).parquet(source), "k", "cycle", "ok", 3, 10)
+        found.writeStream.outputMode("update").foreachBatch(lambda df, _: seen.update({r.k: tuple(r)[1:] for r in df.collect()})).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    assert {k: x for k, x in seen.items() if x[0]} == batch
+
+
+def test_upserts_leave_untouched_buckets_alone(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructType
+
+    schema = StructType().add("k", StringType()).add("seq", LongType())
+    source, target, checkpoint = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    for part in ([(f"k{i}", 1) for i in range(40)], [("k3", 2)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        flows.upsert_stream(spark, source, schema, target, checkpoint, "k", "seq", buckets=8).awaitTermination()
+    versions = sorted(p.name for p in (tmp_path / "out").glob("_bucket=*/v*"))
+    assert versions.count("v00000001") == 1 and len(versions) == 8
+    assert {r.k: r.seq for r in flows.latest(spark, target).collect()} == {f"k{i}": 2 if i == 3 else 1 for i in range(40)}
+
+
+def test_windows_with_many_keys_alarm(spark, tmp_path):
+    rows = [(f"u{k}", 60 * k) for k in range(5)] + [("u9", 10_000)]
+    spark.createDataFrame(rows, "user string, s long").select("user", F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("ts")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("user string, ts timestamp").parquet(str(tmp_path / "in"))
+    got = []
+    flows.windowed_alarm(stream, "user", "ts", "10 minutes", "5 minutes", 3).writeStream.outputMode("append").foreachBatch(lambda df, _: got.extend(r.distinct_keys for r in df.collect())).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    assert got and all(n >= 3 for n in got)
+
+
+def test_a_question_reads_what_it_needs(spark, sf_dir):
+    from plumbline import registry
+
+    read = lambda name: registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert read("q0_coverage").count("Relation") == 1 and read("q8_price_rows").count("Relation") == 2
+
+
+def test_small_functions(spark):
+    from plumbline.functions import arrays, numbers, text
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(text.pair_brand(F.lit("b"), F.lit("a"))) == "a|b" and one(text.pair_brand(F.lit(None), F.lit("a"))) == "a" and one(text.pair_brand(F.lit(None), F.lit(None))) is None
+    assert one(text.out_of_area(F.lit(" Rho "))) and not one(text.out_of_area(F.lit("Milano"))) and not one(text.out_of_area(F.lit(None)))
+    assert one(text.social_links(F.array(F.lit("https://www.facebook.com/a"), F.lit("https://facebook.com/b"), F.lit("https://x.com/c")))) == {"facebook": "https://www.facebook.com/a", "x": "https://x.com/c"}
+    assert one(arrays.canonical_hash(F.struct(F.lit(1).alias("a")))) == one(arrays.canonical_hash(F.struct(F.lit(1).alias("a"))))
+    assert one(numbers.comparable_rating(F.lit(8.0), F.lit(10))) == 4.0
+    assert profile.flagged_duplicates(spark.createDataFrame([(1,), (1,), (2,)], "k long"), ["k"]).where("is_duplicate").count() == 2
+    coverage = profile.field_coverage(spark.createDataFrame([("a", None), ("b", None)], "x string, y string"), ["x", "y"])
+    assert profile.lowest_coverage(coverage, 1).first().field == "y"
