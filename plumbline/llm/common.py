@@ -45,6 +45,16 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes materialised tables from the shared folder, once all that was read from them is materialised too."""
+    from plumbline.llm.media import filesystem
+
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            fs, base = filesystem(folder)
+            fs.delete_dir(base)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the Python workers this package, once a session, wherever the driver found it."""
     sc = spark.sparkContext

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialise
+from plumbline.llm.common import discard, materialise
 
 
 def _edges(df: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         tied = large.join(small, "a")
         following = materialise(_edges(tied.select("b", "m").toDF("a", "b").union(small.select("a", F.col("m").alias("b")))), "components")
+        discard(now)
         before, state, now = state, _state(following), following
         if state == before:
             break
