@@ -53,6 +53,22 @@ SENTENCES: dict[str, str] = {
     "cc0": "This work is dedicated to the public domain under CC0 1.0.",
     "mpl2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "mit-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    "bsd-disclaimer": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "boost-grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:',
+    "gpl2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "lgpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl21-later": "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "epl2-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2-accompanies": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution.",
+    "mpl2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
 
 #: (licence, identifiers in order), strongest first; the first that matches names a text's licence
@@ -76,10 +92,19 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-notice-licensed",)),
     ("BSD", ("bsd-notice",)),
+    ("AGPL-3.0-or-later", ("agpl3-terms",)),
+    ("LGPL-3.0-or-later", ("lgpl3-terms",)),
+    ("LGPL-2.1-or-later", ("lgpl-terms", "lgpl21-later")),
+    ("GPL-2.0-or-later", ("gpl2-terms", "gpl2-free")),
+    ("ISC", ("isc-grant",)),
+    ("Zlib", ("zlib-as-is", "zlib-liable", "zlib-grant")),
+    ("BSL-1.0", ("boost-grant",)),
+    ("EPL-2.0", ("epl2-terms",)),
+    ("EPL-2.0", ("epl2-accompanies",)),
 ]
 
 #: Every known sentence holds one of these (as the module checks below): other texts needn't be cut up.
-ANCHORS = ("licen", "permission", "redistribut", "copyright", "warranty", "public domain", "mozilla")
+ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "public domain", "mozilla", "liable")
 
 
 def normal(sentence: str) -> str:
@@ -87,7 +112,7 @@ def normal(sentence: str) -> str:
 
 
 def sentences_in(text: str) -> list[str]:
-    """The sentences of a text: what SENTENCE_END splits; the known sentences are cut in the same way."""
+    """The sentences of a known licence text, cut at the signs that end one."""
     return [normal(s) for s in re.split("\n+", re.sub(r"([.!?;:])[ \t\r]+", "\\1\n", text))]
 
 
@@ -156,10 +181,16 @@ def _sql() -> str:
     rules = ", ".join(f"({k}, {q(n)}, {q(',' + ','.join(r) + ',')})" for k, (n, r) in enumerate(RULES))
     return rf"""
 WITH known(sentence, id) AS (VALUES {known}), rules(rule, name, line) AS (VALUES {rules}),
-d AS (SELECT row_number() OVER () AS row_no, doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
-s AS (SELECT row_no, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM d),
-n AS (SELECT row_no, pos, id FROM s JOIN known ON known.sentence = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))),
-i AS (SELECT row_no, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids FROM n GROUP BY row_no),
+d AS (SELECT row_number() OVER () AS row_no, doc_id, replace(replace(coalesce(text, ''), chr(1), ' '), chr(2), ' ') AS t FROM documents),
+p AS (SELECT row_no, string_split(regexp_replace(regexp_replace(t, '([.!?;:])(?:[ \t\r]+|\n)', '\1' || chr(1), 'g'), '\n(?:[^\pL\pN\n]*\n)+', chr(1), 'g'), chr(1)) AS parts FROM d WHERE regexp_matches(lower(t), '{"|".join(a.replace(" ", "[^a-z0-9]+") for a in ANCHORS)}')),
+s AS (SELECT row_no, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM p),
+l AS (SELECT row_no, pos, list_transform(string_split(part, chr(10)), lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))) AS lines FROM s),
+h AS (SELECT DISTINCT row_no, pos, lines FROM l JOIN known ON contains(' ' || array_to_string(lines, ' ') || ' ', ' ' || sentence || ' ')),
+a AS (SELECT row_no, pos, lines, unnest(range(1, len(lines) + 1)) AS i FROM h),
+b AS (SELECT row_no, pos, lines, i, unnest(range(i, len(lines) + 1)) AS j FROM a),
+n AS (SELECT row_no, pos, i, j, id FROM b JOIN known ON known.sentence = array_to_string(lines[i:j], ' ') AND lines[i] <> '' AND lines[j] <> ''),
+m AS (SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM n o WHERE o.row_no = n.row_no AND o.pos = n.pos AND o.i <= n.i AND o.j >= n.j AND o.j - o.i > n.j - n.i)),
+i AS (SELECT row_no, count(*) AS n, string_agg(id, ',' ORDER BY pos, i) AS ids FROM m GROUP BY row_no),
 r AS (SELECT row_no, min(rule) AS rule, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM i JOIN rules ON contains(',' || ids || ',', line) GROUP BY row_no)
 SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(i.n, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids,
   CAST(r.rule AS INTEGER) AS rule, rules.name AS license, coalesce(licenses, '') AS licenses

@@ -239,6 +239,86 @@ def test_wrapped_licenses(spark, width, sign, end):
     assert [got[k].license for k in (100, 101, 102)] == ["MIT", None, "Unlicense"]
 
 
+def scanned(text):
+    """Brute force: every run of lines of a sentence is looked up; of runs within each other, the longest counts."""
+    out = []
+    t = re.sub("[\x01\x02]", " ", text or "")
+    t = re.sub(r"([.!?;:])(?:[ \t\r]+|\n)", "\\1\x01", t)
+    for part in re.sub(r"\n(?:(?:(?!\n)[\W_])*\n)+", "\x01", t).split("\x01"):
+        lines = [licenses.normal(x) for x in part.split("\n")]
+        runs = [(i, j, licenses.KNOWN[" ".join(lines[i:j])]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1) if " ".join(lines[i:j]) in licenses.KNOWN]
+        out += [k for i, j, k in runs if not any(a <= i and j <= b and b - a > j - i for a, b, _ in runs)]
+    return ",".join(out)
+
+
+LICENCE_TEXTS = {
+    "MIT": """/*
+ * Copyright (c) 2020 Somebody
+ *
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software.
+ */""",
+    "LGPL-2.1-or-later": """# This library is free software; you can redistribute it and/or
+# modify it under the terms of the GNU Lesser General Public
+# License as published by the Free Software Foundation; either
+# version 2.1 of the License, or (at your option) any later version.
+#
+# This library is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY.""",
+    "GPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "ISC": """// Permission to use, copy, modify, and/or distribute this software for any
+// purpose with or without fee is hereby granted, provided that the above
+// copyright notice and this permission notice appear in all copies.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+}
+
+
+def test_licences_as_files_have_them(spark):
+    rng = random.Random(6)
+    rows = list(LICENCE_TEXTS.items()) + [(f"{k}+", "int x;\n" + v + "\n\nmore") for k, v in LICENCE_TEXTS.items()]
+    sentences = list(licenses.SENTENCES.values())
+    for k in range(60):
+        words = " ".join(rng.choice([rng.choice(sentences), "some words", "a heading", "x"]) for _ in range(rng.randint(1, 6))).split(" ")
+        rows.append((str(k), "".join(w + rng.choice([" "] * 12 + ["\n", "\n * ", "\n\n"]) for w in words)))
+    df = spark.createDataFrame([(k, name, t) for k, (name, t) in enumerate(rows)], "doc_id long, name string, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert {k: got[k].sentence_ids for k in got} == {k: scanned(t) for k, (_, t) in enumerate(rows)}
+    for k, (name, _) in enumerate(rows[: 2 * len(LICENCE_TEXTS)]):
+        assert got[k].license == name.rstrip("+")
+
+
 def words_set(text):
     import re
 
