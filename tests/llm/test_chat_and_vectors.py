@@ -113,6 +113,41 @@ def test_vectors_equal_brute_force(spark, block_rows, list_rows):
     assert embeddings.near_duplicates(df.where(F.col("vec_id") == len(rows) - 10)).count() == 1
 
 
+@pytest.mark.parametrize("rank", [64, 6])
+def test_recall_over_hundreds_of_lists(spark, rank):
+    """With the reach that is used, 64 dimensions, over 100 lists on two levels, and vectors that fill all dimensions or few: at least 0.9 of the links, none that isn't one."""
+    rng = np.random.default_rng(rank)
+    basis = rng.normal(size=(rank, 64))
+    points = rng.normal(size=(1200, rank))
+    near = points[rng.integers(0, 1200, 1800)] + rng.normal(size=(1800, rank)) * 0.14
+    x = np.concatenate([points, near]) @ basis
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, n_sample=600, list_rows=12).collect()}
+    many = linked.sum(1)
+    assert many.sum() > 1000 and all(got[i] <= many[i] for i in got)
+    assert sum(got.values()) >= 0.9 * many.sum()
+
+
+def test_lists_grow_with_the_input():
+    x = np.random.default_rng(2).normal(size=(3200, 8))
+    for lists in (1, 50, 1000, 30_000):
+        q = embeddings.fit(x, lists)
+        assert lists <= len(q.coarse) * len(q.fine) <= 2 * lists + 200 and len(q.coarse) <= 200 and len(q.fine) <= 200
+        who, to = q.probes(x[:100], 0.0)
+        assert (np.isin(q.assign(x[:100]) + np.arange(100) * 100_000, to + who * 100_000)).all()
+
+
+def test_long_double_vectors(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(6, 5000))
+    rows = [(i, (base[i % 6] + (1e-9 if i > 5 else 0)).tolist(), "x") for i in range(12)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {i: (1, i % 6) for i in range(12)}
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (4, 9), (9, 1), (20, 21), (7, 7), (None, 1)] + [(100 + k, 101 + k) for k in range(60)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
