@@ -5,15 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _FOLDERS: list[tempfile.TemporaryDirectory] = []
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder that all executors share; on one machine without such a setting, in a temporary one."""
-    spark = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """A new folder where all executors share it; on one machine without such a setting, in a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
@@ -21,14 +20,12 @@ def _checkpoint(df: DataFrame) -> DataFrame:
         if not _FOLDERS:
             _FOLDERS.append(tempfile.TemporaryDirectory(prefix="plumbline-"))
         folder = "file://" + _FOLDERS[0].name
-    path = f"{folder.rstrip('/')}/links-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder.rstrip('/')}/links-{uuid.uuid4().hex}"
 
 
-def link_order() -> list:
-    """Best pair first; pair_id makes the order total."""
-    return [F.desc("overridden"), F.desc(F.coalesce("score", F.lit(-1.0))), F.desc("fast"), F.asc(F.coalesce("geo_dist_m", F.lit(float("inf")))), F.desc(F.coalesce("name_sim", F.lit(-1.0))), F.desc("pair_id")]
+def link_rank() -> Column:
+    """The better of two pairs has the greater rank; pair_id makes the order total."""
+    return F.struct("overridden", F.coalesce("score", F.lit(-1.0)).alias("score"), "fast", (-F.coalesce("geo_dist_m", F.lit(float("inf")))).alias("near"), F.coalesce("name_sim", F.lit(-1.0)).alias("name_sim"), "pair_id")
 
 
 def one_to_one(pairs: DataFrame) -> DataFrame:
@@ -36,17 +33,30 @@ def one_to_one(pairs: DataFrame) -> DataFrame:
 
     Instead of going through all pairs in order, each round takes every pair
     that is the best one of both its sides and removes what touches it: with a
-    total order the outcome is the greedy one, in a few distributed rounds.
+    total order the outcome is the greedy one. A side's best is a maximum, which
+    is combined before rows move, so that a side with very many pairs is no
+    task's burden. Pairs in no particular order take a number of rounds that
+    grows with the logarithm of their number; each round ends in one write.
     """
-    left = _checkpoint(pairs)
-    taken = None
+    spark = pairs.sparkSession
+    base = _folder(spark)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    left = written(pairs.withColumn("_rank", link_rank()), "left-0")
+    number = 0
     while True:
-        best = left.withColumn("ka", F.row_number().over(Window.partitionBy("a_id").orderBy(*link_order()))).withColumn("ks", F.row_number().over(Window.partitionBy("s_id").orderBy(*link_order())))
-        now = _checkpoint(best.where("ka = 1 and ks = 1").drop("ka", "ks"))
+        best_a = left.groupBy("a_id").agg(F.max(F.struct("_rank", "s_id")).alias("x")).select("a_id", "x.s_id", "x._rank.pair_id")
+        best_s = left.groupBy("s_id").agg(F.max(F.struct("_rank", "a_id")).alias("x")).select("x.a_id", "s_id", "x._rank.pair_id")
+        now = best_a.join(best_s, ["a_id", "s_id", "pair_id"])
+        now = written(left.join(now, ["a_id", "s_id", "pair_id"], "left_semi").drop("_rank"), f"taken/round={number}")
         if now.isEmpty():
-            return pairs.limit(0) if taken is None else taken
-        taken = now if taken is None else taken.unionByName(now)
-        left = _checkpoint(left.join(now.select("a_id"), "a_id", "left_anti").join(now.select("s_id"), "s_id", "left_anti"))
+            break
+        number += 1
+        left = written(left.join(now.select("a_id"), "a_id", "left_anti").join(now.select("s_id"), "s_id", "left_anti").select(*left.columns), f"left-{number}")
+    return spark.read.schema(pairs.schema).option("recursiveFileLookup", True).parquet(f"{base}/taken")
 
 
 def competitors(pairs: DataFrame) -> DataFrame:
