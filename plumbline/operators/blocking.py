@@ -30,15 +30,18 @@ def geo_pairs(anchors: DataFrame, sources: DataFrame, radius_m: float = 150.0) -
 
 
 def token_pairs(anchors: DataFrame, sources: DataFrame, least: int = 4) -> DataFrame:
-    """(a_id, s_id) of pairs with the same place and a common name word; both sides: id, name, place.
+    """(a_id, s_id) of pairs with the same place and a common name word, each once; both sides: id (unique), name, place.
 
-    Words are grouped per pair before anything else is joined to them; a word
-    that very many names of a place hold is a skewed key, which AQE splits.
+    A pair meets at each word that both names have, and is taken at the first of
+    them: so no pairs have to be brought together to be told apart. A word that
+    very many names of a place hold is a skewed key, which AQE splits.
     """
     sides = []
-    for df, key in ((anchors, "a_id"), (sources, "s_id")):
-        sides.append(df.where(F.trim("place") != "").select(F.col("id").alias(key), "place", F.explode(tokens(F.col("name"), least)).alias("token")))
-    return sides[0].join(sides[1], ["place", "token"]).select("a_id", "s_id").distinct()
+    for df, key, words in ((anchors, "a_id", "a_words"), (sources, "s_id", "s_words")):
+        named = df.where(F.trim("place") != "").select(F.col("id").alias(key), "place", tokens(F.col("name"), least).alias(words))
+        sides.append(named.select(key, "place", words, F.explode(words).alias("token")))
+    met = sides[0].join(sides[1], ["place", "token"])
+    return met.where(F.col("token") == F.array_min(F.array_intersect("a_words", "s_words"))).select("a_id", "s_id")
 
 
 def blocked(anchors: DataFrame, sources: DataFrame, radius_m: float = 150.0) -> DataFrame:

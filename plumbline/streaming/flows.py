@@ -9,12 +9,13 @@ from pyspark.sql.types import StructType
 from plumbline.operators.maintenance import first_per_key
 
 
-def sliding_alarm(events: DataFrame, event_id: str, key: str, ts: str, window_s: int, threshold: int, slot_s: int = 86400) -> DataFrame:
+def sliding_alarm(events: DataFrame, event_id: str, key: str, ts: str, window_s: int, threshold: int, slot_s: int = 60) -> DataFrame:
     """(event_id, distinct_keys, alarm): distinct keys among the events of the window_s seconds up to each event.
 
     A key counts from its first event until window_s after its last; per key
     such spans are joined, so that distinct keys become open spans. Open spans
-    are a running sum, taken within time slots and over the slots' totals.
+    are a running sum, taken within time slots and over the slots' totals; a
+    slot is one task's work, and a year has half a million slots of a minute.
     """
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     wide = window_s * 1_000_000
