@@ -19,7 +19,8 @@ anywhere else. Which strings do is settled in four steps that never move texts:
    stops at `width`: what has no value by then repeats for at least that long.
    Anchors with more than `hot` segments take another exact way, so that no task
    gets them all: their windows' hashes are counted by hash partition.
-4. Each block gets its answers back and cuts its documents.
+4. Each unit gets its answers back and cuts its blocks' documents, one block
+   after the other.
 
 Defined results
   null or empty text, or fewer than `width` bytes: nothing removed
@@ -34,15 +35,16 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.blocks import load, texts_of, write_blocks
 from plumbline.llm.common import materialise, ship, table, work_path
-from plumbline.llm.ngrams import answered, mix, pack_counts, pack_keys, unpack_counts, unpack_keys
+from plumbline.llm.ngrams import entries_of, mix, pack_counts, pack_keys, totals, unpack_counts, unpack_keys
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-GRAM = 32
+GRAM, UNIT_BLOCKS = 32, 64
 _BASE = 0x9E3779B97F4A7C15
 _SIGNS = np.random.default_rng(17).integers(1, 1 << 63, 256, np.uint64)
 _POWERS: list[np.ndarray] = []
@@ -241,176 +243,241 @@ def _cut(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
 
 
 def _batches(rows: list[tuple], names: list[str], kinds: list) -> Iterator:
-    import pyarrow as pa
-
     for i in range(0, len(rows), 256):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i : i + 256]], kind) for k, kind in enumerate(kinds)], names)
 
 
-SENT = "kind int, part long, block long, n long, keys binary, side binary, more binary, counts binary"
+def merged(keys: np.ndarray, side: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, side), sorted, with the sums of their counts."""
+    order = np.lexsort((side, keys))
+    k, s = keys[order], side[order]
+    if not len(k):
+        return k, s, counts
+    first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])))
+    return k[first], s[first], np.add.reduceat(counts[order], first)
 
 
-def send(path: str, batches: Iterator, width: int, bits: int) -> Iterator:
-    """Kind 0: distinct segments with their counts; kind 1: distinct anchors with their least and largest segment."""
-    import pyarrow as pa
+SENT = "kind int, part long, unit long, n long, keys binary, side binary, more binary, counts binary"
+
 
+def send(path: str, batches: Iterator, width: int, bits: int) -> Iterator:
+    """Of each unit, kind 0: distinct segments with their counts; kind 1: distinct anchors with their least and largest segment and how many there are."""
+    join = np.concatenate
     for batch in batches:
-        for number in batch.column(0).to_pylist():
-            block = Block(texts_of(load(path, number)), width)
-            order, new, keys, side = block.entries()
-            counts = np.diff(np.append(new, len(order)))
-            rows = [(0, p, number, b - a, pack_keys(keys[a:b]), side[a:b].tobytes(), b"", pack_counts(counts[a:b])) for p, a, b in _cut(keys, bits)]
-            anchors, lo, hi, many = block.anchors()
-            rows += [(1, p, number, b - a, pack_keys(anchors[a:b]), lo[a:b].tobytes(), hi[a:b].tobytes(), pack_counts(many[a:b])) for p, a, b in _cut(anchors, bits)]
+        for unit, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            segments, anchors = [], []
+            for number in numbers:
+                block = Block(texts_of(load(path, number)), width)
+                order, new, keys, side = block.entries()
+                segments.append((keys, side, np.diff(np.append(new, len(order)))))
+                anchors.append(block.anchors())
+            keys, side, counts = merged(*map(join, zip(*segments)))
+            rows = [(0, p, unit, b - a, pack_keys(keys[a:b]), side[a:b].tobytes(), b"", pack_counts(counts[a:b])) for p, a, b in _cut(keys, bits)]
+            a_keys, lo, hi, many = map(join, zip(*anchors))
+            order = np.argsort(a_keys, kind="stable")
+            if len(order):
+                first = np.flatnonzero(np.append(True, a_keys[order][1:] != a_keys[order][:-1]))
+                a_keys, lo, hi, many = a_keys[order][first], np.minimum.reduceat(lo[order], first), np.maximum.reduceat(hi[order], first), np.add.reduceat(many[order], first)
+            rows += [(1, p, unit, b - a, pack_keys(a_keys[a:b]), lo[a:b].tobytes(), hi[a:b].tobytes(), pack_counts(many[a:b])) for p, a, b in _cut(a_keys, bits)]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-            yield from _batches(rows, ["kind", "part", "block", "n", "keys", "side", "more", "counts"], kinds)
+            yield from _batches(rows, ["kind", "part", "unit", "n", "keys", "side", "more", "counts"], kinds)
 
 
-FOUND = "kind int, part long, block long, answer binary"
+FOUND = "kind int, part long, unit long, n long, keys binary, side binary, status binary"
 ANSWERED = FOUND + ", shared long, heated long"
 
 
 def answer(group, hot: int):
-    """Kind 0: 0 the only one, 1 repeated, 2 repeated and this block stands for it. Kind 1: 0 no other segment, 1 some, 2 more than `hot`."""
-    import pyarrow as pa
-
-    sizes = group.column("n").to_pylist()
-    keys = np.concatenate([unpack_keys(k.as_py(), n) for k, n in zip(group.column("keys"), sizes)])
+    """What of a unit's entries needs attention. Kind 0: 1 repeated, 2 repeated and this unit stands for it. Kind 1: 1 an anchor of several segments, 2 of more than `hot`."""
+    kind = group.column("kind")[0].as_py()
+    sizes, keys, counts = entries_of(group)
     side = np.frombuffer(b"".join(group.column("side").to_pylist()), np.uint64)
-    counts = np.concatenate([unpack_counts(c.as_py()) for c in group.column("counts")])
-    block = np.repeat(group.column("block").to_numpy(), sizes)
-    if group.column("kind")[0].as_py() == 0:
-        order = np.lexsort((block, side, keys))
+    units = group.column("unit").to_numpy()
+    unit = np.repeat(units, sizes)
+    if kind == 0:
+        order = np.lexsort((unit, side, keys))
         k, s = keys[order], side[order]
         new = np.append(True, (k[1:] != k[:-1]) | (s[1:] != s[:-1]))
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order], first)[np.cumsum(new) - 1]
+        total = np.add.reduceat(counts[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         got = np.where(total == 1, 0, np.where(new, 2, 1))
     else:
         more = np.frombuffer(b"".join(group.column("more").to_pylist()), np.uint64)
         order = np.argsort(keys, kind="stable")
         new = np.append(True, keys[order][1:] != keys[order][:-1])
         first = np.flatnonzero(new)
-        each = np.cumsum(new) - 1
         several = np.minimum.reduceat(side[order], first) != np.maximum.reduceat(more[order], first)
-        got = np.where(several, np.where(np.add.reduceat(counts[order], first) > hot, 2, 1), 0)[each]
+        got = np.where(several, np.where(np.add.reduceat(counts[order], first) > hot, 2, 1), 0)[np.cumsum(new) - 1]
     back = np.empty(len(keys), np.uint8)
     back[order] = got
+    rows = []
     ends = np.cumsum(sizes).tolist()
-    cut = [back[a:b] for a, b in zip([0, *ends], ends)]
-    kind = group.column("kind")[0].as_py()
-    return pa.table(
-        {
-            "kind": group.column("kind"),
-            "part": group.column("part"),
-            "block": group.column("block"),
-            "answer": pa.array([c.tobytes() for c in cut], pa.binary()),
-            "shared": pa.array([kind * int((c > 0).sum()) for c in cut], pa.int64()),
-            "heated": pa.array([kind * int((c == 2).sum()) for c in cut], pa.int64()),
-        }
-    )
-
-
-def _joined(group, kind: int) -> np.ndarray:
-    """A block's answers of a kind, in the order in which it sent its keys."""
-    rows = sorted((p, a) for k, p, a in zip(group.column("kind").to_pylist(), group.column("part").to_pylist(), group.column("answer").to_pylist()) if k == kind)
-    return np.frombuffer(b"".join(a for _, a in rows), np.uint8)
-
-
-def states(block: Block, group) -> tuple[np.ndarray, np.ndarray]:
-    """Per segment what it is, and whether it is the one that its distinct segment is sent by."""
-    order, new, _, _ = block.entries()
+    for u, a, b in zip(units.tolist(), [0, *ends], ends):
+        take = a + np.flatnonzero(back[a:b])
+        if len(take):
+            status = back[take]
+            rows.append((kind, group.column("part")[0].as_py(), u, len(take), pack_keys(keys[take]), side[take].tobytes() if kind == 0 else b"", status.tobytes(), kind * int(counts[take][status == 1].sum()), kind * int((status == 2).sum())))
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["kind", "part", "unit", "n", "keys", "side", "status", "shared", "heated"])
+
+
+class Known:
+    """A unit's answers: its blocks, what is said of its segments and anchors, and the repeated windows found elsewhere."""
+
+    def __init__(self, batches: Iterator):
+        table = pa.Table.from_batches(list(batches))
+        rows: dict[int, list] = {}
+        for kind, part, n, keys, side, status in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "n", "keys", "side", "status"))):
+            rows.setdefault(kind, []).append((part, n, keys, side, status))
+        self.unit = table.column("unit")[0].as_py()
+        self.blocks = np.frombuffer(rows[-1][0][2], "<i8").tolist()
+        self.keys, self.side, self.status = self._joined(rows.get(0, []))
+        self.sent = np.zeros(len(self.keys), bool)
+        self.anchors, _, self.anchor_status = self._joined(rows.get(1, []))
+        self.ranges: dict[int, list] = {}
+        for part, _, raw, _, _ in rows.get(2, []):
+            self.ranges.setdefault(part, []).append(np.frombuffer(raw, "<i8").reshape(2, -1))
+        self.hot = np.sort(self._joined(rows.get(3, []))[0])
+
+    @staticmethod
+    def _joined(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = sorted(rows, key=lambda r: r[0])  # by partition, which the first bits of a key name
+        keys = [unpack_keys(k, n) for _, n, k, _, _ in rows]
+        return np.concatenate([np.zeros(0, np.uint64), *keys]), np.frombuffer(b"".join(s for *_, s, _ in rows), np.uint64), np.frombuffer(b"".join(t for *_, t in rows), np.uint8)
+
+    def segments(self, keys: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The status of segments, 0 where nothing is said, and where it stands."""
+        status, where = np.zeros(len(keys), np.uint8), np.full(len(keys), -1)
+        at, todo = np.searchsorted(self.keys, keys), np.arange(len(keys))
+        while len(todo):
+            there = at[todo] < len(self.keys)
+            todo = todo[there]
+            todo = todo[self.keys[at[todo]] == keys[todo]]
+            same = self.side[at[todo]] == side[todo]
+            status[todo[same]], where[todo[same]] = self.status[at[todo[same]]], at[todo[same]]
+            todo = todo[~same]  # another segment with the same key: the next entry may be this one
+            at[todo] += 1
+        return status, where
+
+    def of_anchors(self, anchors: np.ndarray) -> np.ndarray:
+        if not len(self.anchors):
+            return np.zeros(len(anchors), np.uint8)
+        at = np.minimum(np.searchsorted(self.anchors, anchors), len(self.anchors) - 1)
+        return np.where(self.anchors[at] == anchors, self.anchor_status[at], 0)
+
+
+def states(block: Block, known: Known) -> tuple[np.ndarray, np.ndarray]:
+    """Per segment what it is, and whether it is the one that its distinct segment is sent by; blocks of a unit come in their order."""
+    order, new, keys, side = block.entries()
+    status, where = known.segments(keys, side)
     repeated = np.empty(len(order), np.uint8)
     each = np.zeros(len(order), np.int64)
     each[new[1:]] = 1
-    repeated[order] = _joined(group, 0)[np.cumsum(each)] if len(order) else 0
-    shared = _joined(group, 1)[np.searchsorted(block.anchors()[0], block.anchor)] if len(order) else np.zeros(0, np.uint8)
-    first = np.zeros(len(order), bool)
-    first[order[new]] = True
-    sends = first & (repeated != 1) & (shared > 0)
+    repeated[order] = status[np.cumsum(each)] if len(order) else 0
+    shared = known.of_anchors(block.anchor)
+    stands = (status == 0) | (status == 2)
+    stands[status == 2] = ~known.sent[where[status == 2]]
+    known.sent[where[status == 2]] = True
+    sends = np.zeros(len(order), bool)
+    sends[order[new[stands]]] = True
     state = np.where(shared == 0, np.where(repeated > 0, WHOLE, ALONE), np.where(shared == 1, np.where(repeated > 0, WHOLE_PARTNER, PARTNER), np.where(repeated > 0, WHOLE_HOT, HOT)))
-    return state, sends
+    return state, sends & (shared > 0)
+
 
+SEGMENTS = "part long, unit long, block long, first long, wants boolean, bytes binary"
 
-def emit(path: str, group, width: int, many: int):
-    """The bytes of a block's segments that have partners."""
-    import pyarrow as pa
 
-    number = group.column("block")[0].as_py()
-    block = Block(texts_of(load(path, number)), width)
-    state, sends = states(block, group)
-    take = np.flatnonzero(sends & ((state == PARTNER) | (state == WHOLE_PARTNER)))
-    raw = block.buf.tobytes()
-    to = (mix(block.anchor[take]) % np.uint64(many)).astype(np.int64)
-    return pa.table({"part": pa.array(to), "block": pa.array(np.full(len(take), number)), "first": pa.array(block.first[take]), "wants": pa.array(state[take] == PARTNER), "bytes": pa.array([raw[a : b + width] for a, b in zip(block.first[take].tolist(), block.last[take].tolist())], pa.binary())})
+def emit(path: str, known: Known, width: int, many: int) -> Iterator:
+    """The bytes of a unit's segments that have partners."""
+    for number in known.blocks:
+        block = Block(texts_of(load(path, number)), width)
+        state, sends = states(block, known)
+        take = np.flatnonzero(sends & ((state == PARTNER) | (state == WHOLE_PARTNER)))
+        raw = block.buf.tobytes()
+        to = (mix(block.anchor[take]) % np.uint64(many)).astype(np.int64)
+        columns = [pa.array(to), pa.array(np.full(len(take), known.unit)), pa.array(np.full(len(take), number)), pa.array(block.first[take]), pa.array(state[take] == PARTNER), pa.array([raw[a : b + width] for a, b in zip(block.first[take].tolist(), block.last[take].tolist())], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "unit", "block", "first", "wants", "bytes"])
 
 
 def search(group, width: int):
     """The repeated windows of a partition's segments, as ranges of their blocks."""
-    import pyarrow as pa
-
     wants = group.column("wants").to_pylist()
     found = repeated_windows(group.column("bytes").to_pylist(), width)
-    out: dict[int, tuple[list, list]] = {}
-    for block, first, want, hit in zip(group.column("block").to_pylist(), group.column("first").to_pylist(), wants, found):
+    out: dict[tuple[int, int], tuple[list, list]] = {}
+    for unit, block, first, want, hit in zip(group.column("unit").to_pylist(), group.column("block").to_pylist(), group.column("first").to_pylist(), wants, found):
         if want and hit.any():
             a, b = ranges_of(hit)
-            lists = out.setdefault(block, ([], []))
+            lists = out.setdefault((unit, block), ([], []))
             lists[0].append(a + first)
             lists[1].append(b + first)
-    blocks = list(out)
-    packed = [np.stack([np.concatenate(out[b][0]), np.concatenate(out[b][1])]).astype("<i8").tobytes() for b in blocks]
-    return pa.table({"kind": pa.array([2] * len(blocks), pa.int32()), "part": pa.array([0] * len(blocks), pa.int64()), "block": pa.array(blocks, pa.int64()), "answer": pa.array(packed, pa.binary())})
+    packed = [np.stack([np.concatenate(a), np.concatenate(b)]).astype("<i8").tobytes() for a, b in out.values()]
+    columns = [[2] * len(out), [b for _, b in out], [u for u, _ in out], [0] * len(out), packed, [b""] * len(out), [b""] * len(out)]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "part", "unit", "n", "keys", "side", "status"])
 
 
-def hot_windows(block: Block, state: np.ndarray, only: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of the segments of hot anchors."""
-    take = np.flatnonzero(only & ((state == HOT) | (state == WHOLE_HOT)))
+def hot_windows(block: Block, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of some segments."""
     n = block.last[take] - block.first[take] + 1
     start = np.repeat(block.first[take], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     return start, block.hasher.of(start, start + block.width) if len(start) else np.zeros(0, np.uint64)
 
 
-def emit_hot(path: str, group, width: int, bits: int):
-    import pyarrow as pa
+HEATED = "part long, unit long, n long, keys binary, counts binary"
+
 
-    number = group.column("block")[0].as_py()
-    block = Block(texts_of(load(path, number)), width)
-    state, sends = states(block, group)
-    keys, counts = np.unique(hot_windows(block, state, sends)[1], return_counts=True)
-    cut = _cut(keys, bits)
-    return pa.table({"part": pa.array([p for p, _, _ in cut], pa.int64()), "ngram": pa.array([0] * len(cut), pa.int32()), "block": pa.array([number] * len(cut), pa.int64()), "n": pa.array([b - a for _, a, b in cut], pa.int64()), "keys": pa.array([pack_keys(keys[a:b]) for _, a, b in cut], pa.binary()), "counts": pa.array([pack_counts(counts[a:b]) for _, a, b in cut], pa.binary())})
+def emit_hot(path: str, known: Known, width: int, bits: int) -> Iterator:
+    """The hashes of a unit's windows that belong to hot anchors, those of each distinct segment once."""
+    for number in known.blocks:
+        block = Block(texts_of(load(path, number)), width)
+        state, sends = states(block, known)
+        keys, counts = np.unique(hot_windows(block, np.flatnonzero(sends & ((state == HOT) | (state == WHOLE_HOT))))[1], return_counts=True)
+        cut = _cut(keys, bits)
+        columns = [[p for p, _, _ in cut], [known.unit] * len(cut), [b - a for _, a, b in cut], [pack_keys(keys[a:b]) for _, a, b in cut], [pack_counts(counts[a:b]) for _, a, b in cut]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["part", "unit", "n", "keys", "counts"])
 
 
-def covered(path: str, group, width: int) -> tuple:
+def answer_hot(group):
+    """For each unit, which of the window hashes that it sent stand for more than one window."""
+    sizes, keys, counts = entries_of(group)
+    distinct, total = totals(keys, counts)
+    ends = np.cumsum(sizes).tolist()
+    part = group.column("part")[0].as_py()
+    of: dict[int, list] = {}
+    for unit, a, b in zip(group.column("unit").to_pylist(), [0, *ends], ends):
+        of.setdefault(unit, []).append(keys[a:b])
+    rows = []
+    for unit, sent in of.items():
+        k = np.unique(np.concatenate(sent))
+        k = k[total[np.searchsorted(distinct, k)] > 1]
+        if len(k):
+            rows.append((3, part, unit, len(k), pack_keys(k), b"", b""))
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["kind", "part", "unit", "n", "keys", "side", "status"])
+
+
+def covered(path: str, known: Known, number: int, width: int) -> tuple:
     """A block's rows, their bytes, and which of these a repeated window covers."""
-    rows = load(path, group.column("block")[0].as_py())
+    rows = load(path, number)
     block = Block(texts_of(rows), width)
-    state, sends = states(block, group)
-    starts, ends = [block.first[np.isin(state, (WHOLE, WHOLE_PARTNER, WHOLE_HOT))]], [block.last[np.isin(state, (WHOLE, WHOLE_PARTNER, WHOLE_HOT))] + 1]
-    hot: list[tuple[int, bytes]] = []
-    for kind, part, raw in zip(group.column("kind").to_pylist(), group.column("part").to_pylist(), group.column("answer").to_pylist()):
-        if kind == 2:
-            a, b = np.frombuffer(raw, "<i8").reshape(2, -1)
-            starts.append(a)
-            ends.append(b)
-        elif kind == 3:
-            hot.append((part, raw))
-    if hot:
-        start, keys = hot_windows(block, state, sends)
-        many = np.concatenate([unpack_counts(raw) for _, raw in sorted(hot)])[np.unique(keys, return_inverse=True)[1]]
-        starts.append(start[many > 1])
-        ends.append(start[many > 1] + 1)
+    state, _ = states(block, known)
+    whole = np.isin(state, (WHOLE, WHOLE_PARTNER, WHOLE_HOT))
+    starts, ends = [block.first[whole]], [block.last[whole] + 1]
+    for a, b in known.ranges.get(number, []):
+        starts.append(a)
+        ends.append(b)
+    if len(known.hot):
+        start, keys = hot_windows(block, np.flatnonzero(state == HOT))
+        start = start[known.hot[np.minimum(np.searchsorted(known.hot, keys), len(known.hot) - 1)] == keys]
+        starts.append(start)
+        ends.append(start + 1)
     change = np.zeros(len(block.buf) + 1, np.int64)
     np.add.at(change, np.concatenate(starts), 1)
     np.add.at(change, np.concatenate(ends) + width - 1, -1)
     return rows, block, np.cumsum(change[:-1]) > 0
 
 
-def digest(path: str, group, width: int):
-    import pyarrow as pa
-
-    rows, block, gone = covered(path, group, width)
+def digest(path: str, known: Known, number: int, width: int):
+    rows, block, gone = covered(path, known, number, width)
     removed, spans, sha = [], [], []
     for a, b in zip((block.end - block.size).tolist(), block.end.tolist()):
         g = gone[a:b]
@@ -421,11 +488,9 @@ def digest(path: str, group, width: int):
     return pa.table({"doc_id": rows.column("doc_id"), "n_bytes": pa.array(block.size), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())})
 
 
-def kept_rows(path: str, group, width: int):
+def kept_rows(path: str, known: Known, number: int, width: int):
     """The rows with their texts cut, and n_chars after them; a character of which only some bytes are covered stays."""
-    import pyarrow as pa
-
-    rows, block, gone = covered(path, group, width)
+    rows, block, gone = covered(path, known, number, width)
     lead = np.flatnonzero((block.buf & 0xC0) != 0x80)  # first bytes of characters
     if len(lead):
         gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(block.buf))))
@@ -453,22 +518,40 @@ def remove_repeats(docs: DataFrame, width: int = 200, cut: bool = False, block_b
         return spark.createDataFrame([], schema)
     bits = max(0, math.ceil(math.log2(max(1, size / 80 / part_entries))))  # an anchor holds about 80 windows
     many = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # What travels is small, what is done for a block isn't: a fixed number of tasks, which Spark won't join into few.
-    tasks = min(n, max(many, n // 2))
-    listed = blocks.select("block").repartition(tasks, "block")
-    answers = listed.mapInArrow(lambda b: send(path, b, width, bits), SENT).groupBy("kind", "part").applyInArrow(lambda g: answer(g, hot), ANSWERED)
-    # A block without windows sends nothing; an empty answer stands for it, so that its documents stay.
-    none = blocks.select(F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("part"), "block", F.lit(b"").alias("answer"), F.lit(0).cast("long").alias("shared"), F.lit(0).cast("long").alias("heated"))
-    answers = materialise(answers.unionByName(none), "suffix-answers")
+    # What travels is small, what is done for a unit isn't: a fixed number of tasks, which Spark won't join into few.
+    tasks = min(n, max(2 * many, math.ceil(n / UNIT_BLOCKS)))
+    units = blocks.select(F.pmod(F.xxhash64("block"), F.lit(tasks)).alias("unit"), "block").groupBy("unit").agg(F.sort_array(F.collect_list("block")).alias("blocks")).repartition(tasks, "unit")
+    answers = units.mapInArrow(lambda b: send(path, b, width, bits), SENT).groupBy("kind", "part").applyInArrow(lambda g: answer(g, hot), ANSWERED)
+    # A unit's own row names its blocks, and stands where nothing is answered.
+    own = units.mapInArrow(_own_rows, ANSWERED)
+    answers = materialise(answers.unionByName(own), "suffix-answers")
     shared, heated = answers.agg(F.sum("shared"), F.sum("heated")).first()
-    parts = max(1, math.ceil(shared * 2 * (width + 80) / part_bytes))
-    segments = answers.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: emit(path, g, width, parts), "part long, block long, first long, wants boolean, bytes binary")
-    everything = answers.drop("shared", "heated").unionByName(segments.groupBy("part").applyInArrow(lambda g: search(g, width), FOUND))
+    parts = max(1, math.ceil(shared * (width + 80) / part_bytes))
+
+    def emitted(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from emit(path, Known(group), width, parts)
+
+    def heated_windows(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from emit_hot(path, Known(group), width, bits)
+
+    def finished(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(group)
+        for number in known.blocks:
+            yield from result(path, known, number, width).to_batches()
+
+    of_unit = lambda df: df.repartition(tasks, "unit").groupBy("unit")
+    answers = answers.drop("shared", "heated")
+    everything = answers.unionByName(of_unit(answers).applyInArrow(emitted, SEGMENTS).groupBy("part").applyInArrow(lambda g: search(g, width), FOUND))
     if heated:
-        windows = answers.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: emit_hot(path, g, width, bits), "part long, ngram int, block long, n long, keys binary, counts binary")
-        counted = windows.groupBy("part").applyInArrow(answered, "block long, ngram int, part long, counts binary")
-        everything = everything.unionByName(counted.select(F.lit(3).alias("kind"), "part", "block", F.col("counts").alias("answer")))
-    return everything.repartition(tasks, "block").groupBy("block").applyInArrow(lambda g: result(path, g, width), schema)
+        everything = everything.unionByName(of_unit(answers).applyInArrow(heated_windows, HEATED).groupBy("part").applyInArrow(answer_hot, FOUND))
+    return of_unit(everything).applyInArrow(finished, schema)
+
+
+def _own_rows(batches: Iterator) -> Iterator:
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    for batch in batches:
+        rows = [(-1, 0, unit, len(blocks), np.array(blocks, "<i8").tobytes(), b"", b"", 0, 0) for unit, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["kind", "part", "unit", "n", "keys", "side", "status", "shared", "heated"])
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
