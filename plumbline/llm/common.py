@@ -37,11 +37,20 @@ def work_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting by which shuffle files go when a query has ended, instead of when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor costs nothing."""
+    """Writes df as Parquet into the shared folder and reads it back: lineage ends there, a lost executor costs nothing, and what was shuffled for it goes."""
     spark = df.sparkSession
     path = work_path(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -417,6 +417,33 @@ def test_tuning_reaches_its_recall():
         assert 1 - (1 - t**rows) ** bands >= 0.95
 
 
+@pytest.fixture(scope="module")
+def pairs_of_all_degrees(spark):
+    """(sets, near pairs by brute force): texts changed to any degree and cut to any length."""
+    rng = random.Random(31)
+    texts = []
+    for g in range(60):
+        base = [f"{g}w{rng.randrange(10**6)}" for _ in range(120)]
+        for share in (0.0, 0.02, 0.05, 0.08, 0.1, 0.12):
+            t = [f"{g}x{rng.randrange(10**6)}" if rng.random() < share else w for w in base]
+            texts.append(t[: rng.choice((120, 120, 100, 85, 40))])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = minhash.shared_sets(df, 3)
+    sized = {r.id: (r.n, set(r.v)) for r in sets.collect()}
+    alike = lambda a, b: len(a[1] & b[1]) / min(a[0], b[0])
+    near = {(i, k) for i in sized for k in sized if i < k and min(sized[i][0], sized[k][0]) >= 0.65 * max(sized[i][0], sized[k][0]) and alike(sized[i], sized[k]) >= 0.65}
+    return sets, near
+
+
+def test_the_ensemble_finds_most_classes(spark, pairs_of_all_degrees):
+    """What the bands alone join, against all near links: by far most; the exact join adds the rest."""
+    sets, near = pairs_of_all_degrees
+    found = minhash.checked(minhash.ensemble_pairs(sets, 0.65, 1.2, 0.95), sets, 0.65)
+    component = {r.id: r.component for r in minhash.components(found).collect()}
+    joined = sum(a in component and component.get(a) == component.get(b) for a, b in near)
+    assert len(near) > 300 and joined >= 0.9 * len(near)
+
+
 @pytest.mark.parametrize("recall,block", [(0.95, 512), (0.01, 3)])
 def test_classes_equal_brute_force(spark, recall, block):
     """Classes are the components of the near links, whatever the ensemble misses; one row of each class stays, with its own text."""
