@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from plumbline.llm.common import chunks, ship, table, work_path
+from plumbline.llm.common import chunks, materialise, ship, table, work_path
 
 WIDTH = 576
 MAGIC = b"PLMEDIA1"
@@ -129,6 +129,7 @@ class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.listed = [x for x in options.get("archives", "").split("\n") if x]
+        self.manifest = options.get("manifest")
         self.range_bytes = int(options.get("rangebytes", 16 << 20))
         self.batch_bytes = int(options.get("batchbytes", 4 << 20))
         self.retries = int(options.get("retries", 3))
@@ -136,6 +137,12 @@ class ArchiveReader(DataSourceReader):
     def partitions(self) -> list[Range]:
         from pyarrow import fs as pafs
 
+        if self.manifest:
+            from pyarrow import dataset
+
+            fs, base = filesystem(self.manifest)
+            rows = dataset.dataset(base, filesystem=fs, format="parquet").to_table(columns=["archive", "bytes"]).sort_by("archive").to_pydict()
+            return [Range(name, low, min(low + self.range_bytes, size)) for name, size in zip(rows["archive"], rows["bytes"]) for low in range(0, size, self.range_bytes)]
         fs, base = filesystem(self.path)
         infos = fs.get_file_info(self.listed) if self.listed else [x for x in fs.get_file_info(pafs.FileSelector(base)) if x.path.endswith(".members")]
         return [Range(i.path, low, min(low + self.range_bytes, i.size)) for i in sorted(infos, key=lambda i: i.path) for low in range(0, i.size, self.range_bytes)]
@@ -218,7 +225,7 @@ class ArchiveMedia(DataSource):
 
 
 def read_archives(spark: SparkSession, path: str, archives: list[str] | None = None, **options) -> DataFrame:
-    """archives: the names that count, one per writing task; without it all archives of the folder."""
+    """archives: the names that count, one per writing task, or the option manifest: a table of what write_archives returned; without either all archives of the folder."""
     ship(spark)
     spark.dataSource.register(ArchiveMedia)
     reader = spark.read.format("archive_media").option("path", path)
@@ -250,7 +257,7 @@ def digests(media: DataFrame) -> DataFrame:
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "media")
-    written = write_archives(table(spark, sf_dir, "documents"), path).collect()  # one row for each writing task
-    if not written:
+    written = materialise(write_archives(table(spark, sf_dir, "documents"), path), "media-listed")  # one row for each writing task
+    if written.isEmpty():
         return spark.createDataFrame([], DIGEST_SCHEMA)
-    return digests(read_archives(spark, path, [r.archive for r in written]))
+    return digests(read_archives(spark, path, manifest=written.inputFiles()[0].rpartition("/")[0]))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import random
 import re
 import zlib
@@ -142,6 +143,44 @@ def test_a_damaged_member_is_retried_alone_and_then_named(spark, tmp_path):
     assert reader.member(fs, part.archive, *first, [])[0] == 1
 
 
+def test_media_query_over_a_manifest(spark, tmp_path):
+    nasty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    got = media.op2_media_columns(spark, str(tmp_path)).collect()
+    want = []
+    for r in NASTY:
+        p = media.pad(r[1])
+        stored = media.to_png(p)
+        x = np.frombuffer(p, np.uint8).astype(float)
+        edges = [k * len(x) // 64 for k in range(65)]
+        bits = "".join("1" if x[a:b].mean() > x.mean() else "0" for a, b in zip(edges, edges[1:]))
+        want.append((r[0], len((r[1] or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), f"{x.mean():.6f}:{x.std():.6f}:{int(bits, 2):016x}"))
+        assert stored[:8] == b"\x89PNG\r\n\x1a\n" and stored[16:24] == (576).to_bytes(4, "big") + (len(p) // 576).to_bytes(4, "big")
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    none(spark).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert media.op2_media_columns(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_a_member_that_fails_for_a_while_is_read_in_the_end(spark, tmp_path):
+    media.write_archives(nasty(spark).coalesce(1), f"file://{tmp_path}").collect()
+    reader = media.ArchiveReader({"path": f"file://{tmp_path}", "retries": "2"})
+    part = reader.partitions()[0]
+    fs, _ = media.filesystem(reader.path)
+    offset, length = reader.entries(fs, part)[3]
+    right = reader.member(fs, part.archive, offset, length, [])
+    opened = []
+
+    class Flaky:
+        """A file system that can't be reached at first, and then gives a file that breaks off."""
+
+        def open_input_file(self, name):
+            opened.append(name)
+            if len(opened) == 1:
+                raise OSError("no route to the store")
+            return io.BytesIO(b"cut off") if len(opened) == 2 else fs.open_input_file(name)
+
+    assert reader.member(Flaky(), part.archive, offset, length, []) == right and len(opened) == 3
+
+
 def brute_repeats(texts, width):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(r[i : i + width] for r in raw for i in range(len(r) - width + 1))
