@@ -53,9 +53,13 @@ def keyed_lookup(docs: DataFrame, keys: list[str], seq: str) -> DataFrame:
 
 
 def stratified(df: DataFrame, strata: list[str], key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows: an equal quota for each stratum, at least one, then whatever comes next, all by a hash of the key."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(*strata).orderBy(h, key)))
+    """n rows: an equal quota for each stratum, at least one, then whatever comes next, all by a hash of the key.
+
+    No stratum can give more than n rows, which Spark uses to leave out most of
+    a large one before it is ranked. The hash is one that other engines have.
+    """
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(*strata).orderBy(h, key))).where(F.col("_r") <= n)
     many = df.select(*strata).distinct().count()
     quota = max(1, n // max(1, many))
     return ranked.orderBy(F.greatest(F.col("_r") - quota, F.lit(0)), h, key).limit(n).drop("_r")

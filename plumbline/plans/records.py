@@ -240,7 +240,16 @@ def matches(spark, sf_dir):
     return c.select("a_id", "s_id", F.concat_ws(":", "a_id", "s_id").alias("pair_id"), F.lit(False).alias("overridden"), "score", F.col("fast_path").isNotNull().alias("fast"), "geo_dist_m", "name_sim")
 
 
-@query(None)
+#: Greedy selection as it is defined: pair by pair, the best first, unless one of its sides is taken.
+GREEDY = BASE.replace("WITH anchors", "WITH RECURSIVE anchors") + """, ordered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY score DESC, geo_dist_m, name_sim DESC, a_id || ':' || s_id DESC) AS k, a_id, s_id, score FROM hardened WHERE label <> 'NON_MATCH'),
+taken AS (SELECT 0::BIGINT AS k, 0::BIGINT AS a_id, 0::BIGINT AS s_id, 0::DOUBLE AS score, []::BIGINT[] AS used_a, []::BIGINT[] AS used_s, false AS ok
+  UNION ALL SELECT o.k, o.a_id, o.s_id, o.score, CASE WHEN t.ok THEN list_append(t.used_a, t.a_id) ELSE t.used_a END, CASE WHEN t.ok THEN list_append(t.used_s, t.s_id) ELSE t.used_s END,
+    NOT list_contains(CASE WHEN t.ok THEN list_append(t.used_a, t.a_id) ELSE t.used_a END, o.a_id) AND NOT list_contains(CASE WHEN t.ok THEN list_append(t.used_s, t.s_id) ELSE t.used_s END, o.s_id)
+  FROM taken t JOIN ordered o ON o.k = t.k + 1)
+SELECT a_id, s_id, round(score, 6) AS score FROM taken WHERE ok"""
+
+
+@query(GREEDY)
 def er_one_to_one_links(spark, sf_dir):
     return linking.one_to_one(matches(spark, sf_dir)).select("a_id", "s_id", F.round("score", 6).alias("score"))
 
@@ -432,7 +441,8 @@ def as_geo_error(spark, sf_dir):
     return d.select("source", F.size("d").cast("long").alias("n"), assess.nearest_rank(F.col("d"), 0.5).alias("p50"), assess.nearest_rank(F.col("d"), 0.9).alias("p90"), F.array_max("d").alias("worst"))
 
 
-@query(None)
+@query(f"""WITH g AS ({GOLD}), r AS (SELECT *, md5(doc_id || ':0') AS h, row_number() OVER (PARTITION BY lang, label ORDER BY md5(doc_id || ':0'), doc_id) AS r FROM g),
+q AS (SELECT greatest(1, 60 // count(*)) AS quota FROM (SELECT DISTINCT lang, label FROM g)) SELECT doc_id, lang, label FROM r, q ORDER BY greatest(r - quota, 0), h, doc_id LIMIT 60""")
 def as_stratified_sample(spark, sf_dir):
     return maintenance.stratified(gold(spark, sf_dir), ["lang", "label"], "doc_id", 60).select("doc_id", "lang", "label")
 
