@@ -443,6 +443,15 @@ def test_short_near_copies_link(spark):
     assert [got[k].class_id for k in (1, 2, 3)] == [1, 1, 3] and [got[k].n_links for k in (1, 2, 3)] == [1, 1, 0]
 
 
+def test_runs_are_hashed_without_an_array_for_each(spark):
+    sets = minhash.shingle_sets(nasty(spark))
+    assert "slice(" not in sets._jdf.queryExecution().toString()
+    words = minhash.named(nasty(spark)).select("id", F.split("t", " ").alias("w"))
+    runs = words.select("id", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - 2, F.lit(1)))).alias("i"), "w").select("id", F.expr("shiftrightunsigned(xxhash64(slice(w, i, 3)), 16)").alias("x"))
+    want = {r.id: set(r.h) for r in runs.groupBy("id").agg(F.collect_set("x").alias("h")).collect()}
+    assert {r.id: set(r.h) for r in sets.collect()} == want and all(r.n == len(want[r.id]) for r in sets.collect())
+
+
 def test_a_quotation_makes_no_copies(copies_of_all_sizes):
     _, _, got, quoted, quoting = copies_of_all_sizes
     assert got[quoted].n_links == 6 and not got[quoted].kept and len({got[i].class_id for i in quoting}) == 6 and all(got[i].kept for i in quoting)
