@@ -51,6 +51,19 @@ def load(path: str, block: int):
         return r.read_all()
 
 
+def keep(path: str, block: int, raw: bytes) -> None:
+    """Puts what was worked out of a block beside it."""
+    fs, base = filesystem(path)
+    with fs.open_output_stream(f"{base}/{block}-kept", compression=None) as out:
+        out.write(raw)
+
+
+def kept(path: str, block: int) -> bytes:
+    fs, base = filesystem(path)
+    with fs.open_input_stream(f"{base}/{block}-kept", compression=None) as f:
+        return f.read()
+
+
 def texts_of(rows) -> list[str]:
     return [t or "" for t in rows.column("text").to_pylist()]
 

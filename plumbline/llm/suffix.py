@@ -9,11 +9,13 @@ anywhere else. Which strings do is settled in four steps that never move texts:
    which follow each other, form a segment that only has to be compared with
    segments of the same anchor hash. Blocks send these hashes, and hashes of the
    whole segments, to hash partitions, one entry for each that a block has, and
+   keep the segments beside their texts for the later steps. They
    are answered which of their segments are alone, which repeated whole, and
    which share their anchor with other segments.
 2. Of each distinct segment of the last kind one block sends the bytes, to a
    partition that its anchor names.
-3. There a suffix array, sorted to the depth of a window, gives the
+3. There segments none of whose windows' hashes occurs twice are dropped, as
+   nothing in them repeats. Over the others a suffix array, sorted to the depth of a window, gives the
    Burrows-Wheeler transform. Breadth-first backward extension of intervals
    finds the common prefixes of neighbouring suffixes by increasing length and
    stops at `width`: what has no value by then repeats for at least that long.
@@ -33,13 +35,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.blocks import load, texts_of, write_blocks
+from plumbline.llm.blocks import keep, kept, load, texts_of, write_blocks
 from plumbline.llm.common import materialise, ship, table, work_path
 from plumbline.llm.ngrams import entries_of, mix, pack_counts, pack_keys, totals, unpack_counts, unpack_keys
 
@@ -92,9 +95,9 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 class Block:
-    """The bytes of a block's texts with the segments of their windows."""
+    """The bytes of a block's texts with the segments of their windows, which are found or, if packed ones are given, read from these."""
 
-    def __init__(self, texts: list[str], width: int):
+    def __init__(self, texts: list[str], width: int, packed: bytes | None = None):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         self.buf = np.frombuffer(b"".join(raw), np.uint8)
         self.size = np.array([len(r) for r in raw], np.int64)
@@ -105,7 +108,10 @@ class Block:
         self.anchor = self.segment = empty.astype(np.uint64)
         if not len(self.size) or self.size.max() < width:
             return
-        self.hasher = Hasher(self.buf)
+        if packed is not None:
+            place, self.anchor, self.segment = np.frombuffer(packed, "<u8").reshape(3, -1)
+            self.first, self.last = (place & np.uint64(0xFFFFFFFF)).astype(np.int64), (place >> np.uint64(32)).astype(np.int64)
+            return
         gram = min(GRAM, width)
         found = self.hasher.every(gram)
         key = (found & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(found), dtype=np.uint64)
@@ -119,6 +125,14 @@ class Block:
         self.anchor = found[at[new]]
         self.segment = self.hasher.of(self.first, self.last + width)
 
+    @cached_property
+    def hasher(self) -> Hasher:
+        return Hasher(self.buf)
+
+    def packed(self) -> bytes:
+        """The segments, 24 bytes for each."""
+        return np.stack([self.first.astype("<u8") | (self.last.astype("<u8") << np.uint64(32)), self.anchor.astype("<u8"), self.segment.astype("<u8")]).tobytes()
+
     def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct segments: order (of the segments, sorted), first (places in it), keys, companions."""
         key = mix(self.anchor + self.segment * np.uint64(_SIDE))
@@ -214,6 +228,22 @@ def repeats_from(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     return unknown[1:n]
 
 
+def candidates(segments: list[bytes], width: int) -> np.ndarray:
+    """Which segments have a window whose hash occurs again; the others have no repeated window."""
+    size = np.array([len(s) for s in segments], np.int64)
+    hashes = Hasher(np.frombuffer(b"".join(segments), np.uint8)).every(width)
+    end = np.cumsum(size)
+    inside = np.flatnonzero(np.arange(len(hashes)) + width <= np.repeat(end, size)[: len(hashes)])
+    keys = hashes[inside]
+    order = np.sort(keys)
+    twice = order[1:][order[1:] == order[:-1]]
+    hit = np.zeros(len(segments), bool)
+    if len(twice):
+        again = twice[np.minimum(np.searchsorted(twice, keys), len(twice) - 1)] == keys
+        hit[np.searchsorted(end, inside[again], side="right")] = True
+    return hit
+
+
 def repeated_windows(segments: list[bytes], width: int) -> list[np.ndarray]:
     """Per segment, for each of its windows: whether an equal one starts elsewhere in the segments."""
     # 0 parts the segments: all bytes are moved up by one, and UTF-8 has none that would be moved round to 0.
@@ -268,6 +298,7 @@ def send(path: str, batches: Iterator, width: int, bits: int) -> Iterator:
             segments, anchors = [], []
             for number in numbers:
                 block = Block(texts_of(load(path, number)), width)
+                keep(path, number, block.packed())
                 order, new, keys, side = block.entries()
                 segments.append((keys, side, np.diff(np.append(new, len(order)))))
                 anchors.append(block.anchors())
@@ -389,7 +420,7 @@ SEGMENTS = "part long, unit long, block long, first long, wants boolean, bytes b
 def emit(path: str, known: Known, width: int, many: int) -> Iterator:
     """The bytes of a unit's segments that have partners."""
     for number in known.blocks:
-        block = Block(texts_of(load(path, number)), width)
+        block = Block(texts_of(load(path, number)), width, kept(path, number))
         state, sends = states(block, known)
         take = np.flatnonzero(sends & ((state == PARTNER) | (state == WHOLE_PARTNER)))
         raw = block.buf.tobytes()
@@ -400,8 +431,10 @@ def emit(path: str, known: Known, width: int, many: int) -> Iterator:
 
 def search(group, width: int):
     """The repeated windows of a partition's segments, as ranges of their blocks."""
+    segments = group.column("bytes").to_pylist()
+    group = group.filter(pa.array(candidates(segments, width)))
     wants = group.column("wants").to_pylist()
-    found = repeated_windows(group.column("bytes").to_pylist(), width)
+    found = repeated_windows(group.column("bytes").to_pylist(), width) if len(wants) else []
     out: dict[tuple[int, int], tuple[list, list]] = {}
     for unit, block, first, want, hit in zip(group.column("unit").to_pylist(), group.column("block").to_pylist(), group.column("first").to_pylist(), wants, found):
         if want and hit.any():
@@ -428,7 +461,7 @@ HEATED = "part long, unit long, n long, keys binary, counts binary"
 def emit_hot(path: str, known: Known, width: int, bits: int) -> Iterator:
     """The hashes of a unit's windows that belong to hot anchors, those of each distinct segment once."""
     for number in known.blocks:
-        block = Block(texts_of(load(path, number)), width)
+        block = Block(texts_of(load(path, number)), width, kept(path, number))
         state, sends = states(block, known)
         keys, counts = np.unique(hot_windows(block, np.flatnonzero(sends & ((state == HOT) | (state == WHOLE_HOT))))[1], return_counts=True)
         cut = _cut(keys, bits)
@@ -458,7 +491,7 @@ def answer_hot(group):
 def covered(path: str, known: Known, number: int, width: int) -> tuple:
     """A block's rows, their bytes, and which of these a repeated window covers."""
     rows = load(path, number)
-    block = Block(texts_of(rows), width)
+    block = Block(texts_of(rows), width, kept(path, number))
     state, _ = states(block, known)
     whole = np.isin(state, (WHOLE, WHOLE_PARTNER, WHOLE_HOT))
     starts, ends = [block.first[whole]], [block.last[whole] + 1]

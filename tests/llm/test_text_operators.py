@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import LONG, NASTY, nasty, none
 from pyspark.sql import functions as F
@@ -205,6 +206,30 @@ def test_repeated_windows_of_random_segments():
             assert hit.tolist() == [seen[s[i : i + width]] > 1 for i in range(len(s) - width + 1)]
 
 
+def test_segments_without_a_repeated_window_need_no_suffix_array(monkeypatch):
+    rng = random.Random(8)
+    lone = [bytes(rng.choice(b"abcd") for _ in range(rng.randint(40, 90))) for _ in range(30)]
+    shared = bytes(rng.choice(b"abcd") for _ in range(50))
+    segments = [lone[0], shared + lone[1], *lone[2:], lone[1] + shared]
+    want = [b for b, hit in enumerate(suffix.repeated_windows(segments, 40)) if hit.any()]
+    given = []
+    real = suffix.repeated_windows
+    monkeypatch.setattr(suffix, "repeated_windows", lambda some, width: given.extend(some) or real(some, width))
+    columns = {"unit": [7] * 31, "block": list(range(31)), "first": [0] * 31, "wants": [True] * 31, "bytes": segments}
+    assert sorted(suffix.search(pa.table(columns), 40).column("part").to_pylist()) == want == [1, 30]
+    assert given == [segments[1], segments[30]]
+    assert suffix.search(pa.table({k: v[2:5] for k, v in columns.items()}), 40).num_rows == 0
+
+
+def test_segments_are_found_once(spark, monkeypatch):
+    texts = ["x" * 300, "é漢" * 100, "", "short", *(" ".join(f"{i * k}" for i in range(90)) for k in range(9))]
+    block = suffix.Block(texts, 50)
+    again = suffix.Block(texts, 50, block.packed())
+    for name in ("buf", "end", "first", "last", "anchor", "segment"):
+        assert (getattr(block, name) == getattr(again, name)).all()
+    assert "hasher" not in vars(again) and len(again.first) > 20
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_suffix_dedup_equals_brute_force(spark, hot):
     rng = random.Random(5)
