@@ -94,6 +94,11 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
+def anchor_keys(anchor: np.ndarray) -> np.ndarray:
+    """One to one; anchors are the least of many hashes, so their own first bits would put nearly all into one partition."""
+    return mix(anchor)
+
+
 class Block:
     """The bytes of a block's texts with the segments of their windows, which are found or, if packed ones are given, read from these."""
 
@@ -142,9 +147,10 @@ class Block:
         return order, new, k[new], s[new]
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes, and for each: the least and largest segment hash and how many distinct ones."""
-        order = np.lexsort((self.segment, self.anchor))
-        a, s = self.anchor[order], self.segment[order]
+        """Distinct anchor keys, and for each: the least and largest segment hash and how many distinct ones."""
+        key = anchor_keys(self.anchor)
+        order = np.lexsort((self.segment, key))
+        a, s = key[order], self.segment[order]
         if not len(a):
             return a, s, s, np.zeros(0, np.int64)
         new = np.append(True, a[1:] != a[:-1])
@@ -404,7 +410,7 @@ def states(block: Block, known: Known) -> tuple[np.ndarray, np.ndarray]:
     each = np.zeros(len(order), np.int64)
     each[new[1:]] = 1
     repeated[order] = status[np.cumsum(each)] if len(order) else 0
-    shared = known.of_anchors(block.anchor)
+    shared = known.of_anchors(anchor_keys(block.anchor))
     stands = (status == 0) | (status == 2)
     stands[status == 2] = ~known.sent[where[status == 2]]
     known.sent[where[status == 2]] = True

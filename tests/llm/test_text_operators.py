@@ -15,7 +15,7 @@ from helpers import LONG, NASTY, nasty, none
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plumbline.llm import licenses, media, minhash, ngrams, packing, suffix, toxicity, wordbpe
+from plumbline.llm import blocks, licenses, media, minhash, ngrams, packing, suffix, toxicity, wordbpe
 from plumbline.llm.bytebpe import ByteBpe
 
 TEXTS = [r[1] or "" for r in NASTY]
@@ -230,6 +230,18 @@ def test_segments_are_found_once(spark, monkeypatch):
     assert "hasher" not in vars(again) and len(again.first) > 20
 
 
+def test_anchors_are_spread_over_partitions(tmp_path):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(20_000)) for _ in range(10)]
+    path = f"file://{tmp_path}"
+    blocks.store(path, 0, [pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": texts})])
+    units = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([[0]])], ["unit", "blocks"])
+    rows = pa.Table.from_batches(suffix.send(path, iter([units]), 200, 3)).to_pylist()
+    for kind in (0, 1):
+        sizes = {r["part"]: r["n"] for r in rows if r["kind"] == kind}
+        assert len(sizes) == 8 and max(sizes.values()) < 2 * sum(sizes.values()) / 8
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_suffix_dedup_equals_brute_force(spark, hot):
     rng = random.Random(5)
