@@ -46,8 +46,19 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.lower().translate(_SPACE).split(" ") if w]
 
 
+def split_words(texts: list[str]):
+    """All words of the texts, as words_of has them, and the text that each stands in: two Arrow arrays, no object for a word."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    parts = pc.split_pattern(pa.array([t.lower().replace("\t", " ").replace("\n", " ").replace("\r", " ") for t in texts], pa.large_string()), " ")
+    words = parts.flatten()
+    real = pc.not_equal(words, "")
+    return words.filter(real), pc.list_parent_indices(parts).filter(real)
+
+
 def count_tokens(texts: list[str]) -> int:
-    return sum(len(words_of(t)) for t in texts)
+    return len(split_words(texts)[0])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -58,16 +69,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def hashes(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Tokens per text; the hashes of the words, pairs and triples that end at each token (triples from a text's third token on, and so on)."""
-    import pandas as pd
     import xxhash
 
-    words = [words_of(t) for t in texts]
-    count = np.array([len(w) for w in words], np.int64)
-    flat = [w for ws in words for w in ws]
-    if not flat:
+    flat, text = split_words(texts)
+    count = np.bincount(text.to_numpy(zero_copy_only=False), minlength=len(texts)).astype(np.int64)
+    if not len(flat):
         return count, [np.zeros(0, np.uint64)] * 3
-    code, distinct = pd.factorize(np.array(flat, object))
-    one = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in distinct], np.uint64)[code]
+    coded = flat.dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    one = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8")) for w in coded.dictionary.to_pylist()], np.uint64)[code]
     place = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
     two = mix(one[:-1] * np.uint64(0xD6E8FEB86659FD93) + one[1:])
     three = mix(two[:-1] * np.uint64(0xA0761D6478BD642F) + one[2:])

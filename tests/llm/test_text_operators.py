@@ -265,6 +265,18 @@ def test_suffix_dedup_cuts_rows_at_characters(spark):
     assert sorted(r.text for r in suffix.remove_repeats(two, width=11, cut=True).collect()) == ["x", "yy"]
 
 
+def test_words_are_split_without_an_object_for_each(fuzz, monkeypatch):
+    for texts in (fuzz, TEXTS, ["", " \t\n"], []):
+        want = [ngrams.words_of(t) for t in texts]
+        words, text = ngrams.split_words(texts)
+        assert words.to_pylist() == [w for ws in want for w in ws] and text.to_pylist() == [i for i, ws in enumerate(want) for _ in ws]
+    want = [len(ngrams.words_of(t)) for t in fuzz]
+    monkeypatch.delattr(ngrams, "words_of")
+    count, found = ngrams.hashes(fuzz)
+    assert count.tolist() == want and ngrams.count_tokens(fuzz) == sum(want)
+    assert [len(f) for f in found] == [sum(max(0, n - k) for n in want) for k in range(3)]
+
+
 @pytest.mark.parametrize("least", [1, 2])
 def test_lm_scores_equal_brute_force(spark, least):
     import math
