@@ -593,6 +593,36 @@ def test_rows_that_share_a_doc_id_lose_no_text(spark):
     assert sorted(map(tuple, minhash.keep_one(df).collect())) == [(1, "one two three"), (3, w), (5, z)]
 
 
+def test_a_line_that_many_texts_quote_makes_no_row_for_each_pair(spark, monkeypatch):
+    """keep_one needs to know which texts are fragments, not what all of them lie in."""
+    rng = random.Random(41)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    line = [word() for _ in range(40)]
+    whole = [[word() for _ in range(60)] + line + [word() for _ in range(k)] for k in range(50)]
+    parts = [line[:38] + [word() for _ in range(k % 7)] for k in range(40)]
+    # Texts whose halves name different texts as the largest: the first lies in a third one too, the second in none.
+    one, two, three, four = ([word() for _ in range(30)] for _ in range(4))
+    halves = [one + two, three + four, *([word() for _ in range(n)] + h for n, h in ((200, one), (210, two), (200, three), (210, four), (90, one + two)))]
+    texts = [" ".join(t) for t in [*whole, *parts, *halves]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made, write_table = [], minhash.materialise
+
+    def counted(table, what):
+        out = write_table(table, what)
+        made.append((what, out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "materialise", counted)
+    got = {r.doc_id for r in minhash.keep_one(df).collect()}
+    assert max(n for what, n in made if what == "pairs") < 200  # of 40 x 50 far links
+    sets = [words_set(t) for t in texts]
+    fragments = {i for i, x in enumerate(sets) if any(len(x) < 0.65 * len(y) and len(x & y) / len(x) >= 0.65 for y in sets)}
+    near = [(i, k) for i, x in enumerate(sets) for k, y in enumerate(sets) if i != k and 0.65 * len(y) <= len(x) <= len(y) and len(x & y) / len(x) >= 0.65]
+    assert fragments == {*range(50, 90), 90} and all(fragments >= {i, k} for i, k in near)
+    assert got == set(range(len(texts))) - fragments
+    assert [r.kept for r in minhash.near_duplicates(df).orderBy("doc_id").collect()] == [i in got for i in range(len(texts))]
+
+
 def test_toxicity_learns_and_survives(spark):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
