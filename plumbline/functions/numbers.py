@@ -26,6 +26,13 @@ def number(c: Column) -> Column:
     return clean.try_cast("double")
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """F.round of a double, without its decimal arithmetic where the next digits aren't about half a unit."""
+    scaled = c * 10**digits
+    plain = (F.abs(c) < 1e6) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
+    return F.when(plain, F.floor(scaled + 0.5) / F.lit(10.0**digits)).otherwise(F.round(c, digits))
+
+
 def italian_rating(c: Column) -> Column:
     x = F.replace(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)", 1), F.lit(","), F.lit(".")).try_cast("double")
     return F.when(x.between(0, 5), x)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -49,6 +49,49 @@ def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([known[pair] for pair in zip(a, b)], dtype="float64")
 
 
+#: Up to so many pairs of distinct names are compared once each and looked up; of more, those are compared that meet.
+COMPARED = 250_000
+
+
+class Lookup:
+    """Similarities of the normalised names (columns a_<name>, s_<name>, never null) that records a and s have: {name: column of the similarity}.
+
+    Where the distinct names of both sides make few pairs, a record carries the
+    number of its name, and a pair looks its similarity up in a broadcast table.
+    Else records carry the names themselves, to be compared in the pairs.
+    """
+
+    def __init__(self, a: DataFrame, s: DataFrame, names: dict[str, str]):
+        self.names, self.numbers, self.known = names, {}, {}
+        spark = a.sparkSession
+        for name, out in names.items():
+            x, y = ([r[0] for r in df.select(f"{k}_{name}").distinct().limit(COMPARED + 1).collect()] for df, k in ((a, "a"), (s, "s")))
+            if not 0 < len(x) * len(y) <= COMPARED:
+                continue
+            numbered = [spark.createDataFrame(list(enumerate(sorted(v))), f"_no long, {k}_{name} string") for v, k in ((x, "a"), (y, "s"))]
+            self.numbers |= {f"a_{name}": numbered[0], f"s_{name}": numbered[1]}
+            both = numbered[0].withColumnRenamed("_no", "_a").crossJoin(numbered[1]).repartition(spark.sparkContext.defaultParallelism)
+            self.known[name] = len(y), both.select((F.col("_a") * len(y) + F.col("_no")).alias(f"_{out}"), token_set_of(F.col(f"a_{name}"), F.col(f"s_{name}")).alias(out))
+
+    def carried(self, rows: DataFrame) -> DataFrame:
+        """Records of one side, with numbers instead of names where these are looked up."""
+        for name, number in self.numbers.items():
+            if name in rows.columns:
+                rows = rows.join(F.broadcast(number), name).drop(name).withColumnRenamed("_no", name)
+        return rows
+
+    def added(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the similarities of what they carry."""
+        for name, out in self.names.items():
+            ends = f"a_{name}", f"s_{name}"
+            if name in self.known:
+                m, known = self.known[name]
+                pairs = pairs.withColumn(f"_{out}", F.col(ends[0]) * m + F.col(ends[1])).join(F.broadcast(known), f"_{out}").drop(f"_{out}", *ends)
+            else:
+                pairs = pairs.withColumn(out, token_set_of(*map(F.col, ends))).drop(*ends)
+        return pairs
+
+
 def token_set_of(a: Column, b: Column) -> Column:
     """Similarity of two names that are normalised already, 0 to 1; 0 if either has no word."""
     return _ratios(a, b)

@@ -140,8 +140,8 @@ def chain_brand(c: Column, brands: list[str]) -> Column:
 
 def pair_brand(a: Column, b: Column) -> Column:
     """The brand of a pair: that of either side, both in order where they differ, null without one."""
-    both = F.array_sort(F.array_distinct(F.array_compact(F.array(a, b))))
-    return F.nullif(F.array_join(both, "|"), F.lit(""))
+    one = F.when(a.isNull() | (a == b), b).when(b.isNull(), a)
+    return F.nullif(F.coalesce(one, F.concat(F.least(a, b), F.lit("|"), F.greatest(a, b))), F.lit(""))
 
 
 #: Places of the region that are no part of the city.

@@ -84,6 +84,22 @@ def rank_order() -> list[Column]:
     return [F.desc(F.coalesce("score", F.lit(-1.0))), F.asc(F.coalesce("geo_dist_m", F.lit(1e6))), F.desc(F.coalesce("name_sim", F.lit(-1.0))), F.asc("a_id")]
 
 
+def least_scores(pairs: DataFrame, k: int = 5) -> DataFrame:
+    """(source, s_id, least): a score that each group's k best candidates reach; null where it has candidates in fewer than k of its parts.
+
+    Each of some parts of a group by a_id has a best score, and so k candidates
+    reach the k-th of these. That combines before rows move, so that only what
+    reaches it has to be ranked. Some of the pairs give a lower bound too.
+    """
+    parts = pairs.groupBy("source", "s_id", F.pmod(F.xxhash64("a_id"), F.lit(3 * k)).alias("part")).agg(F.max(F.coalesce("score", F.lit(-1.0))).alias("best"))
+    return parts.groupBy("source", "s_id").agg(F.get(F.sort_array(F.collect_list("best"), asc=False), F.lit(k - 1)).alias("least"))
+
+
+def reaching(pairs: DataFrame) -> DataFrame:
+    """Those of pairs that carry their group's least score which reach it."""
+    return pairs.where(F.col("least").isNull() | (F.coalesce("score", F.lit(-1.0)) >= F.col("least"))).drop("least")
+
+
 def top_candidates(pairs: DataFrame, k: int = 5) -> DataFrame:
     """The k best candidates of each (source, s_id), numbered by rank_no."""
     w = Window.partitionBy("source", "s_id").orderBy(*rank_order())
@@ -135,10 +151,9 @@ def match_confidence(llm_label: Column, llm_confidence: Column, own: Column) ->
     return F.when(judged, llm_confidence.cast("double")).otherwise(own)
 
 
-def open_groups(pairs: DataFrame) -> DataFrame:
-    """Pairs of those groups of which no pair has been adjudicated yet."""
-    done = pairs.where(F.trim(F.coalesce("llm_label", F.lit(""))) != "").select("source", "s_id").distinct()
-    return pairs.join(done, ["source", "s_id"], "left_anti")
+def judged_groups(pairs: DataFrame) -> DataFrame:
+    """(source, s_id) of the groups of which a pair has been adjudicated already; the records of all others have open pairs only."""
+    return pairs.where(F.trim(F.coalesce("llm_label", F.lit(""))) != "").select("source", "s_id").distinct()
 
 
 DECIDED = "source string, s_id long, a_id long, decision string, confidence double, risk_flag string"

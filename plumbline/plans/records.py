@@ -134,6 +134,8 @@ def sources(spark, sf_dir):
     return rows.join(part(spark, sf_dir).select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("street")), "p_partkey")
 
 
+r = lambda digits, c: numbers.rounded(F.col(c), digits).alias(c)
+
 RADIUS = 1500.0
 BASE = f"""
 WITH anchors AS (SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS place, {POINT[0]} AS latitude, {POINT[1]} AS longitude, c_custkey % 37 AS phone, c_custkey % 41 AS website, c_custkey % 10 = 0 AS is_chain, p_name AS name, p_brand AS street FROM customer JOIN part ON p_partkey = c_custkey),
@@ -155,31 +157,48 @@ hardened AS (SELECT *, CASE WHEN is_chain AND phone_match = 0 AND raw <> 'NON_MA
 THRESHOLDS = scoring.Thresholds(default=(0.2, 0.6))
 
 
-def described(rows, k: str, *more: str):
-    """The columns of one side of a pair; names are normalised here, once a record."""
-    return rows.select(F.col("id").alias(f"{k}_id"), F.col("name").alias(f"{k}_name"), text.normal_name(F.col("name")).alias(f"{k}_words"), text.normal_name(F.col("street")).alias(f"{k}_street"), F.col("phone").alias(f"{k}_phone"), F.col("website").alias(f"{k}_website"), *more)
+#: What records are described by; columns beyond these are carried to their pairs.
+KNOWN = ("id", "place", "latitude", "longitude", "phone", "website", "p_partkey", "name", "street")
+
+
+def described(rows, k: str):
+    """A side of the pairs, and the columns that a pair is judged by; names are normalised here, once a record."""
+    more = [c for c in rows.columns if c not in KNOWN]
+    out = rows.select("id", "latitude", "longitude", text.normal_name(F.col("name")).alias(f"{k}_words"), text.normal_name(F.col("street")).alias(f"{k}_street"), F.col("phone").alias(f"{k}_phone"), F.col("website").alias(f"{k}_website"), *more)
+    return out, tuple(out.columns[3:])
+
+
+def compared(spark, sf_dir):
+    """The similarities of the names and of the streets of all records."""
+    return similarity.Lookup(described(anchors(spark, sf_dir), "a")[0], described(sources(spark, sf_dir), "s")[0], {"words": "name_sim", "street": "street_sim"})
+
+
+def features(spark, sf_dir, a=None, s=None, radius=RADIUS, names=None):
+    """The pairs of anchors a and sources s (all, if not given) with their features and what else their records carry."""
+    names = names or compared(spark, sf_dir)
+    (a, of_a), (s, of_s) = described(anchors(spark, sf_dir) if a is None else a, "a"), described(sources(spark, sf_dir) if s is None else s, "s")
+    both = names.added(blocking.geo_pairs(names.carried(a), names.carried(s), radius, of_a, of_s))
+    both = both.withColumn("geo_score", similarity.geo_score(F.col("geo_dist_m")))
+    equal = {c: F.col(f"a_{c}") == F.col(f"s_{c}") for c in ("phone", "website")}
+    both = both.withColumns({f"{c}_equal": e for c, e in equal.items()} | {f"{c}_match": e.cast("double") for c, e in equal.items()})
+    return both.drop(*[f"{k}_{c}" for k in "as" for c in equal])
 
 
-def features(spark, sf_dir):
-    a, s = anchors(spark, sf_dir), sources(spark, sf_dir)
-    both = blocking.geo_pairs(a, s, RADIUS).join(described(a, "a", "is_chain"), "a_id").join(described(s, "s", "source"), "s_id")
-    return both.select(
-        "a_id", "s_id", "source", "geo_dist_m", "is_chain", "a_name", "s_name",
-        similarity.token_set_of(F.col("a_words"), F.col("s_words")).alias("name_sim"),
-        similarity.geo_score(F.col("geo_dist_m")).alias("geo_score"),
-        similarity.token_set_of(F.col("a_street"), F.col("s_street")).alias("street_sim"),
-        (F.col("a_phone") == F.col("s_phone")).cast("double").alias("phone_match"),
-        (F.col("a_website") == F.col("s_website")).cast("double").alias("website_match"),
-    ).withColumn("phone_equal", F.col("phone_match") == 1).withColumn("website_equal", F.col("website_match") == 1)
+def candidates(spark, sf_dir, a=None, s=None, radius=RADIUS, names=None):
+    return scoring.labelled(features(spark, sf_dir, a, s, radius, names), THRESHOLDS)
 
 
-def candidates(spark, sf_dir):
-    return scoring.labelled(features(spark, sf_dir), THRESHOLDS)
+def best_candidates(spark, sf_dir, k: int = 5):
+    """The k best candidates of each source; only pairs that reach a score which k candidates close by have are ranked."""
+    names = compared(spark, sf_dir)
+    least = scoring.least_scores(candidates(spark, sf_dir, radius=RADIUS / 3, names=names), k)
+    some = sources(spark, sf_dir).join(least.withColumnRenamed("s_id", "id"), ["source", "id"], "left")
+    return scoring.top_candidates(scoring.reaching(candidates(spark, sf_dir, s=some, names=names)), k)
 
 
 @query(BASE + "SELECT a_id, s_id, round(geo_dist_m, 3) AS geo_dist_m FROM pairs")
 def er_geo_block(spark, sf_dir):
-    return blocking.geo_pairs(anchors(spark, sf_dir), sources(spark, sf_dir), RADIUS).select("a_id", "s_id", F.round("geo_dist_m", 3).alias("geo_dist_m"))
+    return blocking.geo_pairs(anchors(spark, sf_dir), sources(spark, sf_dir), RADIUS).select("a_id", "s_id", r(3, "geo_dist_m"))
 
 
 @query(BASE + "SELECT DISTINCT a.id AS a_id, s.id AS s_id FROM (SELECT id, place, unnest(string_split(lower(name), ' ')) AS w FROM anchors) a JOIN (SELECT id, place, unnest(string_split(lower(name), ' ')) AS w FROM sources) s ON a.place = s.place AND a.w = s.w AND length(a.w) >= 4")
@@ -189,13 +208,14 @@ def er_token_block(spark, sf_dir):
 
 @query(BASE + "SELECT a_id, s_id, round(name_sim, 6) AS name_sim, round(geo_score, 6) AS geo_score, round(street_sim, 6) AS street_sim, phone_match, website_match FROM features")
 def er_features(spark, sf_dir):
-    return features(spark, sf_dir).select("a_id", "s_id", F.round("name_sim", 6).alias("name_sim"), F.round("geo_score", 6).alias("geo_score"), F.round("street_sim", 6).alias("street_sim"), "phone_match", "website_match")
+    return features(spark, sf_dir).select("a_id", "s_id", r(6, "name_sim"), r(6, "geo_score"), r(6, "street_sim"), "phone_match", "website_match")
 
 
 @query(BASE + "SELECT DISTINCT a_name, s_name, round(name_sim, 6) AS name_sim FROM features")
 def er_name_similarity(spark, sf_dir):
     """The token-set ratio of each distinct pair of names that meet."""
-    return features(spark, sf_dir).select("a_name", "s_name", F.round("name_sim", 6).alias("name_sim")).distinct()
+    met = blocking.geo_kinds(anchors(spark, sf_dir), sources(spark, sf_dir), RADIUS, "name")
+    return met.select("a_name", "s_name", F.round(similarity.token_set(F.col("a_name"), F.col("s_name")), 6).alias("name_sim"))
 
 
 @query(BASE + """, located AS (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN NULL ELSE latitude END AS latitude, CASE WHEN id % 2 = 0 THEN '' ELSE place END AS place) FROM sources)
@@ -215,19 +235,20 @@ BRANDS = ["red", "blue", "small"]
 SELECT a_id, s_id, CASE WHEN a_brand IS NULL OR s_brand IS NULL OR a_brand = s_brand THEN coalesce(a_brand, s_brand) ELSE least(a_brand, s_brand) || '|' || greatest(a_brand, s_brand) END AS brand FROM branded WHERE coalesce(a_brand, s_brand) IS NOT NULL""")
 def er_chain_brands(spark, sf_dir):
     """The brand of each pair of which a side belongs to a chain."""
-    brand = lambda k: text.chain_brand(F.col(f"{k}_name"), BRANDS)
-    return features(spark, sf_dir).select("a_id", "s_id", text.pair_brand(brand("a"), brand("s")).alias("brand")).where("brand is not null")
+    branded = lambda rows, k: rows.withColumn(f"{k}_brand", text.chain_brand(F.col("name"), BRANDS))
+    pairs = blocking.geo_pairs(branded(anchors(spark, sf_dir), "a"), branded(sources(spark, sf_dir), "s"), RADIUS, ("a_brand",), ("s_brand",))
+    return pairs.select("a_id", "s_id", text.pair_brand(F.col("a_brand"), F.col("s_brand")).alias("brand")).where("brand is not null")
 
 
 @query(BASE + "SELECT a_id, s_id, round(score, 6) AS score, raw AS label FROM labelled")
 def er_score_label(spark, sf_dir):
     scored = features(spark, sf_dir).withColumn("score", scoring.score(F.col("source")))
-    return scored.select("a_id", "s_id", F.round("score", 6).alias("score"), scoring.label(F.col("score"), F.lit(0.2), F.lit(0.6)).alias("label"))
+    return scored.select("a_id", "s_id", r(6, "score"), scoring.label(F.col("score"), F.lit(0.2), F.lit(0.6)).alias("label"))
 
 
 @query(BASE + "SELECT a_id, s_id, label, hardening FROM hardened WHERE is_chain")
 def er_chain_rules(spark, sf_dir):
-    return candidates(spark, sf_dir).where("is_chain").select("a_id", "s_id", "label", F.array_join("chain_hardening", ",").alias("hardening"))
+    return candidates(spark, sf_dir, a=anchors(spark, sf_dir).where("is_chain")).select("a_id", "s_id", "label", F.array_join("chain_hardening", ",").alias("hardening"))
 
 
 @query(BASE + "SELECT source, label, count(*) AS n FROM hardened GROUP BY 1, 2")
@@ -235,8 +256,13 @@ def er_label_counts(spark, sf_dir):
     return candidates(spark, sf_dir).groupBy("source", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def matches(spark, sf_dir):
-    c = candidates(spark, sf_dir).where("label <> 'NON_MATCH'")
+def matches(spark, sf_dir, a=None, s=None, radius=RADIUS, names=None):
+    return candidates(spark, sf_dir, a, s, radius, names).where("label <> 'NON_MATCH'")
+
+
+def ranked_matches(matched):
+    """What greedy selection asks of matches. They move first: ranks are built for few, outside the loop over all pairs."""
+    c = matched.select("a_id", "s_id", "score", "fast_path", "geo_dist_m", "name_sim").repartition("s_id")
     return c.select("a_id", "s_id", F.concat_ws(":", "a_id", "s_id").alias("pair_id"), F.lit(False).alias("overridden"), "score", F.col("fast_path").isNotNull().alias("fast"), "geo_dist_m", "name_sim")
 
 
@@ -249,14 +275,31 @@ taken AS (SELECT 0::BIGINT AS k, 0::BIGINT AS a_id, 0::BIGINT AS s_id, 0::DOUBLE
 SELECT a_id, s_id, round(score, 6) AS score FROM taken WHERE ok"""
 
 
+#: So many pairs of a source are ranked before it is known which of them its anchors take.
+LISTED = 16
+
+
 @query(GREEDY)
 def er_one_to_one_links(spark, sf_dir):
-    return linking.one_to_one(matches(spark, sf_dir)).select("a_id", "s_id", F.round("score", 6).alias("score"))
+    names = compared(spark, sf_dir)
+
+    def fetch(ids):
+        some = sources(spark, sf_dir)
+        if ids is not None:
+            return ranked_matches(matches(spark, sf_dir, s=some.join(ids.withColumnRenamed("s_id", "id"), "id", "left_semi"), names=names))
+        least = scoring.least_scores(matches(spark, sf_dir, radius=RADIUS / 3, names=names), LISTED)
+        some = some.join(least.withColumnRenamed("s_id", "id"), ["source", "id"], "left")
+        return ranked_matches(scoring.reaching(matches(spark, sf_dir, s=some, names=names)))
+
+    return linking.one_to_one(fetch(None), LISTED, fetch).select("a_id", "s_id", r(6, "score"))
 
 
 @query(BASE + "SELECT a_id, s_id, count(*) OVER (PARTITION BY a_id) - 1 AS n_same_a, count(*) OVER (PARTITION BY s_id) - 1 AS n_same_s FROM hardened WHERE label <> 'NON_MATCH'")
 def er_competitors(spark, sf_dir):
-    return linking.competitors(matches(spark, sf_dir)).select("a_id", "s_id", "n_same_a", "n_same_s")
+    names = compared(spark, sf_dir)
+    per_a, per_s = linking.competing(matches(spark, sf_dir, names=names))
+    a, s = anchors(spark, sf_dir).join(per_a.withColumnRenamed("a_id", "id"), "id"), sources(spark, sf_dir).join(per_s.withColumnRenamed("s_id", "id"), "id")
+    return matches(spark, sf_dir, a, s, names=names).select("a_id", "s_id", "n_same_a", "n_same_s")
 
 
 TOP = ", topped AS (SELECT *, row_number() OVER (PARTITION BY source, s_id ORDER BY score DESC, geo_dist_m, name_sim DESC, a_id) AS rank_no FROM hardened)"
@@ -264,14 +307,14 @@ TOP = ", topped AS (SELECT *, row_number() OVER (PARTITION BY source, s_id ORDER
 
 @query(BASE + TOP + "SELECT source, s_id, a_id, CAST(rank_no AS INTEGER) AS rank_no FROM topped WHERE rank_no <= 5")
 def er_topk_groups(spark, sf_dir):
-    return scoring.top_candidates(candidates(spark, sf_dir)).select("source", "s_id", "a_id", "rank_no")
+    return best_candidates(spark, sf_dir).select("source", "s_id", "a_id", "rank_no")
 
 
 @query(BASE + TOP + """, g AS (SELECT b.source, b.s_id, b.a_id, b.geo_dist_m AS d, b.name_sim AS name, b.street_sim AS street, b.phone_match + b.website_match > 0 AS contact, s.name_sim AS name2, s.geo_dist_m AS d2 FROM topped b LEFT JOIN topped s ON s.source = b.source AND s.s_id = b.s_id AND s.rank_no = 2 WHERE b.rank_no = 1),
 h AS (SELECT *, CASE WHEN coalesce(name2 >= .75 AND d2 <= 100 AND name >= .75, false) THEN 'UNCERTAIN' WHEN contact AND d <= 1000 THEN 'MATCH' WHEN d <= 50 AND (name >= .75 OR street >= .8) THEN 'MATCH' WHEN d > 300 THEN 'NON_MATCH' ELSE 'UNCERTAIN' END AS decision FROM g)
 SELECT source, s_id, a_id, decision, CASE WHEN decision = 'MATCH' AND (d > 1000 OR (d > 150 AND NOT contact)) THEN 'UNCERTAIN' ELSE decision END AS final_decision FROM h""")
 def er_policy(spark, sf_dir):
-    decided = scoring.policy(scoring.decide(scoring.top_candidates(candidates(spark, sf_dir))))
+    decided = scoring.policy(scoring.decide(best_candidates(spark, sf_dir)))
     return decided.select("source", "s_id", "a_id", "decision", "final_decision")
 
 
@@ -436,9 +479,9 @@ def as_survival(spark, sf_dir):
 
 @query(BASE + ", e AS (SELECT source, list_sort(list(round(geo_dist_m, 3))) AS d FROM pairs JOIN sources ON id = s_id GROUP BY 1) SELECT source, len(d) AS n, list_extract(d, 1 + CAST(round_even((len(d) - 1) * 0.5, 0) AS INTEGER)) AS p50, list_extract(d, 1 + CAST(round_even((len(d) - 1) * 0.9, 0) AS INTEGER)) AS p90, d[-1] AS worst FROM e")
 def as_geo_error(spark, sf_dir):
-    pairs = blocking.geo_pairs(anchors(spark, sf_dir), sources(spark, sf_dir), RADIUS).join(sources(spark, sf_dir).select(F.col("id").alias("s_id"), "source"), "s_id")
-    d = pairs.groupBy("source").agg(F.collect_list(F.round("geo_dist_m", 3)).alias("d"))
-    return d.select("source", F.size("d").cast("long").alias("n"), assess.nearest_rank(F.col("d"), 0.5).alias("p50"), assess.nearest_rank(F.col("d"), 0.9).alias("p90"), F.array_max("d").alias("worst"))
+    places = blocking.geo_places(anchors(spark, sf_dir), sources(spark, sf_dir), RADIUS, of_s=("source",))
+    counted = places.groupBy("source", r(3, "geo_dist_m")).agg(F.sum(F.size("members").cast("long")).alias("times"))
+    return assess.ranked(counted, ["source"], "geo_dist_m", {"p50": 0.5, "p90": 0.9}).select("source", "n", "p50", "p90", "worst")
 
 
 @query(f"""WITH g AS ({GOLD}), r AS (SELECT *, md5(doc_id || ':0') AS h, row_number() OVER (PARTITION BY lang, label ORDER BY md5(doc_id || ':0'), doc_id) AS r FROM g),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import linking, maintenance, projection, scoring
+from plumbline.functions import numbers
+from plumbline.operators import blocking, linking, maintenance, projection, scoring
 from plumbline.plans.listing import SQL, listing, table
-from plumbline.plans.records import BASE, GOLD, candidates, gold, part
+from plumbline.plans.records import BASE, GOLD, RADIUS, anchors, best_candidates, candidates, gold, part, sources
 from plumbline.quality import assess, profile
 from plumbline.streaming import flows
 
@@ -88,21 +89,23 @@ def as_unlabelled(spark, sf_dir):
 JUDGED = ", judged AS (SELECT *, CASE WHEN s_id % 5 = 0 AND a_id % 2 = 0 THEN 'MATCH' WHEN a_id % 7 = 0 THEN ' ' END AS llm_label, CASE WHEN a_id % 4 = 0 THEN 0.75 END AS llm_confidence FROM hardened)"
 
 
-def judged(spark, sf_dir):
+def judged(pairs):
     a, s = F.col("a_id"), F.col("s_id")
     label = F.when((s % 5 == 0) & (a % 2 == 0), "MATCH").when(a % 7 == 0, " ")
-    return candidates(spark, sf_dir).withColumn("llm_label", label).withColumn("llm_confidence", F.when(a % 4 == 0, 0.75))
+    return pairs.withColumn("llm_label", label).withColumn("llm_confidence", F.when(a % 4 == 0, 0.75))
 
 
 @query(BASE + JUDGED + "SELECT a_id, s_id, round(CASE WHEN trim(coalesce(llm_label, '')) <> '' AND llm_confidence IS NOT NULL THEN llm_confidence ELSE score END, 6) AS match_confidence, coalesce(nullif(trim(llm_label), ''), label) AS effective_label FROM judged")
 def er_match_confidence(spark, sf_dir):
-    return judged(spark, sf_dir).select("a_id", "s_id", r6(scoring.match_confidence(F.col("llm_label"), F.col("llm_confidence"), F.col("score"))).alias("match_confidence"), scoring.effective_label(F.col("llm_label"), F.col("label")).alias("effective_label"))
+    return judged(candidates(spark, sf_dir)).select("a_id", "s_id", numbers.rounded(scoring.match_confidence(F.col("llm_label"), F.col("llm_confidence"), F.col("score")), 6).alias("match_confidence"), scoring.effective_label(F.col("llm_label"), F.col("label")).alias("effective_label"))
 
 
 @query(BASE + JUDGED + "SELECT a_id, s_id FROM judged WHERE s_id NOT IN (SELECT s_id FROM judged WHERE trim(coalesce(llm_label, '')) <> '')")
 def er_open_groups(spark, sf_dir):
     """Candidates of the groups that still wait for an adjudication."""
-    return scoring.open_groups(judged(spark, sf_dir)).select("a_id", "s_id")
+    pairs = lambda rows: blocking.geo_pairs(anchors(spark, sf_dir), rows, RADIUS, of_s=("source",))
+    done = scoring.judged_groups(judged(pairs(sources(spark, sf_dir)))).withColumnRenamed("s_id", "id")
+    return pairs(sources(spark, sf_dir).join(done, ["source", "id"], "left_anti")).select("a_id", "s_id")
 
 
 @query(BASE + """, topped AS (SELECT *, row_number() OVER (PARTITION BY source, s_id ORDER BY score DESC, geo_dist_m, name_sim DESC, a_id) AS rank_no FROM hardened),
@@ -111,13 +114,13 @@ h AS (SELECT source, s_id, a_id, CASE WHEN coalesce(name2 >= .75 AND d2 <= 100 A
 SELECT source, s_id, a_id, list_extract(['UNCERTAIN', 'MATCH', 'MATCH', 'NON_MATCH', 'UNCERTAIN'], k) AS decision, list_extract([0.62::DOUBLE, 0.92, 0.90, 0.82, 0.60], k) AS confidence, list_extract(['multiple_plausible_candidates', NULL, NULL, 'large_distance', 'insufficient_evidence'], k) AS risk_flag FROM h""")
 def er_adjudicated(spark, sf_dir):
     """Each group as a client decides it that is called with its candidates."""
-    return scoring.adjudicated(scoring.top_candidates(candidates(spark, sf_dir)))
+    return scoring.adjudicated(best_candidates(spark, sf_dir))
 
 
 @query(BASE + "SELECT a_id, s_id, source FROM hardened WHERE source = 'tripadvisor' AND label = 'MATCH' UNION ALL SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 'tripadvisor' ELSE 'thefork' END FROM customer WHERE c_custkey % 3 <> 0")
 def er_link_union(spark, sf_dir):
     """New links of one source beside the links that others have already."""
-    new = candidates(spark, sf_dir).where("source = 'tripadvisor' and label = 'MATCH'").select("a_id", "s_id", "source")
+    new = candidates(spark, sf_dir, s=sources(spark, sf_dir).where("source = 'tripadvisor'")).where("label = 'MATCH'").select("a_id", "s_id", "source")
     key = F.col("c_custkey")
     old = table(spark, sf_dir, "customer").select(key.alias("a_id"), F.col("c_nationkey").cast("long").alias("s_id"), F.when(key % 3 == 0, "tripadvisor").otherwise("thefork").alias("source"))
     return linking.with_others(new, old, ["tripadvisor"])

@@ -72,6 +72,14 @@ def score_counts(scored: DataFrame, groups: list[str]) -> DataFrame:
     return counted.withColumn("upto", F.sum(F.col("p") + F.col("q")).over(each.orderBy("score"))).withColumn("n", F.sum(F.col("p") + F.col("q")).over(each))
 
 
+def ranked(counted: DataFrame, groups: list[str], value: str, q: dict[str, float]) -> DataFrame:
+    """(groups, n, worst and the nearest-rank quantiles q) of counted(groups, value, times): a running sum over distinct values, not over rows."""
+    each = Window.partitionBy(*groups)
+    upto = counted.withColumn("upto", F.sum("times").over(each.orderBy(value))).withColumn("n", F.sum("times").over(each))
+    at = lambda x: F.min(F.when(F.col("upto") > F.bround((F.col("n") - 1) * x, 0), F.col(value)))
+    return upto.groupBy(*groups).agg(F.max("n").alias("n"), *[at(x).alias(k) for k, x in q.items()], F.max(value).alias("worst"))
+
+
 def score_summary(scored: DataFrame, groups: list[str]) -> DataFrame:
     """(groups, n, least, p25, p50, p75, most): nearest-rank quantiles, from counts of distinct scores instead of gathered rows."""
     counted = score_counts(scored, groups)
