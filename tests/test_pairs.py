@@ -15,7 +15,7 @@ from plumbline.operators import blocking, linking, scoring
 from plumbline.quality import assess
 
 #: Queries whose pairs are dealt out to all cores, by what they stand for; before, few tasks had them all.
-DEALT = ["er_one_to_one_links"]
+DEALT = ["er_one_to_one_links", "as_suggestions"]
 
 
 def plan(df) -> str:
@@ -141,3 +141,14 @@ def test_rounded_equals_round(spark):
     values = [rng.random() * 10**k for k in range(-7, 7) for _ in range(40)] + [0.0005, 2.5e-6, 1.0000005, 1e300, float("nan"), None]
     df = spark.createDataFrame([(v,) for v in [*values, *(-v for v in values if v)]], "v double")
     assert df.where(~rounded(F.col("v"), 6).eqNullSafe(F.round("v", 6)) | ~rounded(F.col("v"), 3).eqNullSafe(F.round("v", 3))).count() == 0
+
+
+def test_suggestions_from_blocks(spark, monkeypatch):
+    """However thresholds are shared out, the best pairs are the same."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(g, rng.randrange(40) / 40, rng.random() < 0.6) for g in "xxxy" for _ in range(40)], "g string, score double, truth boolean")
+    best = lambda: sorted(tuple(r) for r in assess.suggestions(df, ["g"]).collect())
+    whole = best()
+    monkeypatch.setattr(assess, "LOWER", 3)
+    monkeypatch.setattr(assess, "HIGHER", 5)
+    assert best() == whole and len(whole) == 10
