@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,21 +49,27 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('href="([^"]+)"'), 1)
 
 
-def phone_of(html: Column) -> Column:
-    """From a tel: link, else the first number in the text."""
-    linked = F.try_element_at(F.filter(links(html), lambda u: u.startswith("tel:")), F.lit(1))
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once for each row, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def phone_of(html: Column, found: Column | None = None) -> Column:
+    """From a tel: link, else the first number in the text; found: the links of html, if they are known."""
+    linked = F.try_element_at(F.filter(links(html) if found is None else found, lambda u: u.startswith("tel:")), F.lit(1))
     return first_non_empty(F.substring(linked, 5, 40), F.regexp_extract(html, r"(\+\d{2}[\d ]{6,14}\d)", 1))
 
 
-def email_of(html: Column) -> Column:
-    linked = F.try_element_at(F.filter(links(html), lambda u: u.startswith("mailto:")), F.lit(1))
+def email_of(html: Column, found: Column | None = None) -> Column:
+    linked = F.try_element_at(F.filter(links(html) if found is None else found, lambda u: u.startswith("mailto:")), F.lit(1))
     return first_non_empty(F.regexp_replace(F.substring(linked, 8, 200), r"\?.*$", ""), F.regexp_extract(html, r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z])", 1))
 
 
-def website_of(html: Column, own: str) -> Column:
+def website_of(html: Column, own: str, found: Column | None = None) -> Column:
     """The first link to another site that is no social network."""
-    out = F.filter(links(html), lambda u: u.rlike("^https?://") & ~F.coalesce(host(u).rlike(OWN_AND_SOCIAL), F.lit(True)) & ~F.coalesce(host(u).rlike(rf"(^|\.){own}$"), F.lit(True)))
-    return F.try_element_at(out, F.lit(1))
+    sites = F.transform(F.filter(links(html) if found is None else found, lambda u: u.rlike("^https?://")), lambda u: F.struct(u.alias("u"), host(u).alias("h")))
+    out = F.filter(sites, lambda x: ~F.coalesce(x["h"].rlike(OWN_AND_SOCIAL), F.lit(True)) & ~F.coalesce(x["h"].rlike(rf"(^|\.){own}$"), F.lit(True)))
+    return F.try_element_at(out, F.lit(1))["u"]
 
 
 def coordinates(c: Column) -> Column:
@@ -74,22 +82,29 @@ def coordinates(c: Column) -> Column:
 
 def structured(html: Column) -> Column:
     """The page's schema.org record, with its address joined."""
-    x = F.from_json(F.regexp_extract(html, r'(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1), LD_SCHEMA)
-    a = x["address"]
-    return F.struct(
-        x["name"].alias("name"), x["telephone"].alias("phone"), x["email"].alias("email"), x["url"].alias("website"), x["servesCuisine"].alias("cuisine"), x["priceRange"].alias("price"),
-        F.nullif(F.concat_ws(", ", *[optional(a[k]) for k in ("streetAddress", "postalCode", "addressLocality", "addressRegion", "addressCountry")]), F.lit("")).alias("address"),
-        x["geo"]["latitude"].alias("latitude"), x["geo"]["longitude"].alias("longitude"), x["aggregateRating"]["ratingValue"].alias("rating"), x["aggregateRating"]["reviewCount"].alias("reviews"),
-    )
+
+    def record(x: Column) -> Column:
+        a = x["address"]
+        return F.struct(
+            x["name"].alias("name"), x["telephone"].alias("phone"), x["email"].alias("email"), x["url"].alias("website"), x["servesCuisine"].alias("cuisine"), x["priceRange"].alias("price"),
+            F.nullif(F.concat_ws(", ", *[optional(a[k]) for k in ("streetAddress", "postalCode", "addressLocality", "addressRegion", "addressCountry")]), F.lit("")).alias("address"),
+            x["geo"]["latitude"].alias("latitude"), x["geo"]["longitude"].alias("longitude"), x["aggregateRating"]["ratingValue"].alias("rating"), x["aggregateRating"]["reviewCount"].alias("reviews"),
+        )
+
+    return bound(F.from_json(F.regexp_extract(html, r'(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1), LD_SCHEMA), record)
 
 
 def detail(html: Column, own: str) -> Column:
-    """Contacts and place of a page: structured data before what links and text show."""
-    s, seen = structured(html), coordinates(html)
-    return F.struct(
-        s["name"].alias("name"), first_non_empty(s["phone"], phone_of(html)).alias("phone"), first_non_empty(s["email"], email_of(html)).alias("email"), first_non_empty(s["website"], website_of(html, own)).alias("website"),
-        s["address"].alias("address"), F.coalesce(s["latitude"], seen["latitude"]).alias("latitude"), F.coalesce(s["longitude"], seen["longitude"]).alias("longitude"), s["rating"].alias("rating"), s["reviews"].alias("reviews"),
-    )
+    """Contacts and place of a page: structured data before what links and text show; each part is read once."""
+
+    def joined(h: Column, x: Column) -> Column:
+        s, seen, found = x["s"], x["seen"], x["found"]
+        return F.struct(
+            s["name"].alias("name"), first_non_empty(s["phone"], phone_of(h, found)).alias("phone"), first_non_empty(s["email"], email_of(h, found)).alias("email"), first_non_empty(s["website"], website_of(h, own, found)).alias("website"),
+            s["address"].alias("address"), F.coalesce(s["latitude"], seen["latitude"]).alias("latitude"), F.coalesce(s["longitude"], seen["longitude"]).alias("longitude"), s["rating"].alias("rating"), s["reviews"].alias("reviews"),
+        )
+
+    return bound(html, lambda h: bound(F.struct(structured(h).alias("s"), coordinates(h).alias("seen"), links(h).alias("found")), lambda x: joined(h, x)))
 
 
 def snippets(found: Column, words: str = "(?i)cibo|piatt|servizio|ottim|buon|food|service", most: int = 5) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions import arrays, geo, numbers, pages, text
-from plumbline.operators import cleaning, maintenance
+from plumbline.operators import blocking, cleaning, maintenance
 from plumbline.plans.listing import table
 from plumbline.plans.records import part
 
@@ -149,8 +149,8 @@ def fn_page_detail(spark, sf_dir):
     _, size, name, _, _ = columns()
     ld = F.when(size % 2 == 0, F.concat(lit('{"name": "'), name, lit('", "telephone": "02 1", "address": {"streetAddress": "Via Po 1", "postalCode": "20121", "addressCountry": "IT"}, "geo": {"latitude": 45.5, "longitude": 9.25}}'))).otherwise(F.concat(lit('{"name": "'), name, lit('"}')))
     html = F.concat(lit('<html><script type="application/ld+json">'), ld, lit('</script><a href="https://www.facebook.com/x">f</a><a href="https://page.thefork.example/a">own</a><a href="mailto:'), as_text(size), lit('@x.example?subject=a">m</a><a href="tel:+39 02 123456">t</a><a href="https://own.example/'), as_text(size), lit('">w</a><a href="https://maps.example/@45.464,9.191">map</a></html>'))
-    d = pages.detail(html, "thefork.example")
-    return fields(spark, sf_dir, d=d).select("p_partkey", *[f"d.{c}" for c in ("name", "phone", "email", "website", "address", "latitude", "longitude")])
+    shown = blocking.spread(fields(spark, sf_dir, html=html), "p_partkey")
+    return shown.select("p_partkey", pages.detail(F.col("html"), "thefork.example").alias("d")).select("p_partkey", *[f"d.{c}" for c in ("name", "phone", "email", "website", "address", "latitude", "longitude")])
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'Via Po ' || p_size END AS street, CASE WHEN p_size % 3 = 0 THEN p_brand END AS city, CASE WHEN p_size % 3 > 0 THEN p_name END AS text, p_size % 3 = 0 AS structured FROM part")
@@ -214,5 +214,6 @@ def fn_canonical_hash(spark, sf_dir):
 def fn_social_links(spark, sf_dir):
     _, size, _, _, _ = columns()
     url = lambda p: F.concat(lit(f"https://www.{p}.com/"), as_text(size))
-    found = text.social_links(F.array(url("instagram"), url("facebook"), F.concat(url("facebook"), lit("b")), F.when(size % 2 == 0, url("x")).otherwise("https://box.com/a")))
-    return fields(spark, sf_dir, links=F.array_join(F.array_sort(F.transform(F.map_entries(found), lambda e: F.concat(e["key"], lit("="), e["value"]))), "|"))
+    urls = F.array(url("instagram"), url("facebook"), F.concat(url("facebook"), lit("b")), F.when(size % 2 == 0, url("x")).otherwise("https://box.com/a"))
+    shown = blocking.spread(fields(spark, sf_dir, urls=urls), "p_partkey")
+    return shown.select("p_partkey", F.array_join(F.array_sort(F.transform(F.map_entries(text.social_links(F.col("urls"))), lambda e: F.concat(e["key"], lit("="), e["value"]))), "|").alias("links"))
