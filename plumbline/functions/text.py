@@ -115,13 +115,13 @@ def normal_url(c: Column) -> Column:
 
 
 def social_links(links: Column) -> Column:
-    """platform -> the first link of it."""
-
-    def first(platform: str) -> Column:
-        return F.try_element_at(F.filter(links, lambda u: host(u).rlike(rf"(^|\.){platform}\.com$")), F.lit(1))
-
-    pairs = [F.struct(F.lit(p).alias("key"), first(p).alias("value")) for p in SOCIAL_HOSTS]
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
+    """platform -> the first link of it; the host of a link is read once."""
+    sites = F.transform(F.coalesce(links, F.array().cast("array<string>")), lambda u: F.struct(u.alias("u"), host(u).alias("h")))
+    of = lambda h: F.coalesce(*[F.when(h.rlike(rf"(^|\.){p}\.com$"), p) for p in SOCIAL_HOSTS])
+    known = F.filter(F.transform(sites, lambda x: F.struct(of(x["h"]).alias("key"), x["u"].alias("value"))), lambda e: e["key"].isNotNull())
+    # In the order of the platforms, the first of each: a later one of the same platform adds nothing.
+    first = lambda es, p: F.slice(F.filter(es, lambda e: e["key"] == p), 1, 1)
+    return F.get(F.transform(F.array(known), lambda es: F.map_from_entries(F.concat(*[first(es, p) for p in SOCIAL_HOSTS]))), F.lit(0))
 
 
 def strip_more(c: Column) -> Column:

@@ -15,7 +15,7 @@ from plumbline.operators import blocking, linking, scoring
 from plumbline.quality import assess
 
 #: Queries whose pairs are dealt out to all cores, by what they stand for; before, few tasks had them all.
-DEALT = ["er_one_to_one_links", "as_suggestions", "fn_page_detail"]
+DEALT = ["er_one_to_one_links", "as_suggestions", "fn_page_detail", "fn_social_links"]
 
 
 def plan(df) -> str:
@@ -158,3 +158,15 @@ def test_a_page_is_read_once(spark, sf_dir):
     """The JSON of a page was parsed thirteen times, its links found ten times."""
     said = plan(registry.QUERIES["fn_page_detail"](spark, sf_dir))
     assert said.count("from_json") == 1 and said.count("regexp_extract_all") == 1
+
+
+def test_social_links_of_odd_lists(spark):
+    from plumbline.functions import text
+
+    df = spark.createDataFrame([(["https://box.com/a", None, "https://www.x.com/1", "https://facebook.com/b", "http://m.facebook.com/c", "https://x.com/2"],), (None,), ([],)], "u array<string>")
+    got = [dict(r.m) for r in df.select(text.social_links(F.col("u")).alias("m")).collect()]
+    assert got == [{"facebook": "https://facebook.com/b", "x": "https://www.x.com/1"}, {}, {}]
+
+
+def test_a_links_host_is_read_once(spark, sf_dir):
+    assert plan(registry.QUERIES["fn_social_links"](spark, sf_dir)).count("regexp") < 20
