@@ -15,7 +15,7 @@ from plumbline.operators import blocking, linking, scoring
 from plumbline.quality import assess
 
 #: Queries whose pairs are dealt out to all cores, by what they stand for; before, few tasks had them all.
-DEALT = ["er_one_to_one_links", "as_suggestions", "fn_page_detail", "fn_social_links", "as_geo_error", "er_chain_brands", "er_score_label", "er_token_block", "er_label_counts", "er_topk_groups", "er_competitors", "er_match_confidence", "er_link_union", "er_open_groups", "er_policy", "er_features", "er_adjudicated", "er_geo_block"]
+DEALT = ["er_one_to_one_links", "as_suggestions", "fn_page_detail", "fn_social_links", "as_geo_error", "er_chain_brands", "er_score_label", "er_token_block", "er_label_counts", "er_topk_groups", "er_competitors", "er_match_confidence", "er_link_union", "er_open_groups", "er_policy", "er_features", "er_adjudicated", "er_geo_block", "er_chain_rules"]
 
 
 def plan(df) -> str:
