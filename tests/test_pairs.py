@@ -65,6 +65,12 @@ def test_kinds_equal_those_of_all_pairs(spark):
     assert got == sorted({(r.name, r.s_name) for r in all_pairs(a, s, 200.0).collect()}) and len(got) < 25
 
 
+def test_similarity_of_names_without_pairs(spark, sf_dir):
+    """The query's plan calls Python for distinct pairs of names only: nothing explodes into pairs of records."""
+    said = plan(registry.QUERIES["er_name_similarity"](spark, sf_dir))
+    assert said.count("ArrowEvalPython") == 1 and "members" not in said and "a_id" not in said
+
+
 def test_token_blocks_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(blocking, "ANCHORS", 3)
     monkeypatch.setattr(blocking, "SOURCES", 2)
